@@ -205,7 +205,7 @@ GROUP BY 1""", "trade_raw")
 @query("harmonize_columns", _SLICE_SQL)
 def q_harmonize_columns(spark, sf):
     """The export under five header variants, each harmonised on its own."""
-    raw = fx.trade_raw(spark, sf)
+    raw = inputs.trade_raw(spark, sf)
     by_region = {r: raw.filter(F.col("region_key") == r).drop("region_key") for r in range(5)}
     variants = [
         by_region[0],
@@ -230,7 +230,7 @@ SELECT country_iso3, COUNT(*) AS row_count, CAST(SUM(trade_value) AS DOUBLE) AS
 FROM trade_clean WHERE country_iso3 IN ({_in(_UNION_COUNTRIES)}) GROUP BY 1""", "trade_clean"))
 def q_union_countries(spark, sf):
     """One frame per country (country tag from the path map), unioned by name."""
-    raw = fx.trade_raw(spark, sf).drop("region_key")
+    raw = inputs.trade_raw(spark, sf).drop("region_key")
     frames = {iso: raw.filter(F.col("country_iso3") == iso).drop("country_iso3")
               for iso in _UNION_COUNTRIES}
     t = clean_trade(frames, fx.MEASURE)
@@ -255,7 +255,7 @@ def q_comtrade_land_union(spark, sf):
     first alias for every row, so rows of the second pull lose their value
     and are cleaned away -- the behaviour of concatenating before cleaning.
     """
-    raw = fx.trade_raw(spark, sf)
+    raw = inputs.trade_raw(spark, sf)
     a = tag_frame(raw.filter(F.col("region_key") <= 2).drop("region_key"), pull_id="A")
     b = tag_frame(raw.filter(F.col("region_key") > 2).drop("region_key", "cmdDesc")
                   .withColumnRenamed("primaryValue", "TradeValue"), pull_id="B")
@@ -773,7 +773,7 @@ LEFT JOIN (SELECT country_iso3, period, COUNT(*) AS rows_landed FROM trade_raw G
   ON l.country_iso3 = g.country_iso3 AND l.period = g.period""", "trade_raw"))
 def q_period_coverage(spark, sf):
     """Rows landed per planned country-month, missing months flagged."""
-    raw = harmonize_trade(fx.trade_raw(spark, sf))
+    raw = harmonize_trade(inputs.trade_raw(spark, sf))
     return coverage.period_coverage(raw, fx.PULL_PLAN)
 
 

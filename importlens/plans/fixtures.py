@@ -65,7 +65,7 @@ def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 97 == 0, F.lit("N/A"))
          .otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("primaryValue"),
         F.when(F.col("l_orderkey") % 89 == 0, F.lit("201913"))
-         .otherwise(F.date_format("l_shipdate", "yyyyMM")).alias("period"),
+         .otherwise((F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("string")).alias("period"),
         F.col("n_regionkey").alias("region_key"),
     )
 

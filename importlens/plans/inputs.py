@@ -1,4 +1,7 @@
-"""Cleaned inputs over the fixture views, shared by every catalog query."""
+"""Cleaned inputs over the fixture views, shared by every catalog query.
+
+Each is a written stage (see ``stages``): raw landing, then cleaning.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from importlens import dims
 from importlens.operators.clean import clean_county, clean_indicators, clean_trade, extract_county
 from importlens.plans import fixtures as fx
+from importlens.plans.stages import materialized
+
+
+def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed export (text columns), written once."""
+    return materialized(spark, sf_dir, "trade_raw", lambda: fx.trade_raw(spark, sf_dir))
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned trade fact (value as exact decimal)."""
-    return clean_trade(fx.trade_raw(spark, sf_dir), fx.MEASURE)
+    """Cleaned trade fact (value as exact decimal), partitioned by country."""
+    return materialized(spark, sf_dir, "trade_clean",
+                        lambda: clean_trade(trade_raw(spark, sf_dir).drop("region_key"), fx.MEASURE),
+                        partition_by=["country_iso3"])
 
 
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_indicators(fx.indicator_raw(spark, sf_dir), fx.MEASURE)
+    return materialized(spark, sf_dir, "indicators",
+                        lambda: clean_indicators(fx.indicator_raw(spark, sf_dir), fx.MEASURE))
 
 
 def county(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hosts = dims.host_counties(spark, fx.host_county_rows())
-    extracted = extract_county(fx.county_raw(spark, sf_dir), hosts, dims.naics_sectors(spark), fx.MEASURE)
-    return clean_county(extracted, fx.MEASURE)
+    def build() -> DataFrame:
+        hosts = dims.host_counties(spark, fx.host_county_rows())
+        extracted = extract_county(fx.county_raw(spark, sf_dir), hosts, dims.naics_sectors(spark),
+                                   fx.MEASURE)
+        return clean_county(extracted, fx.MEASURE)
+    return materialized(spark, sf_dir, "county", build)
 
 
 def indicator_dim(spark: SparkSession) -> DataFrame:

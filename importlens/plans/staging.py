@@ -11,11 +11,11 @@ import threading
 
 from pyspark.sql import SparkSession
 
-from importlens.plans import fixtures as fx
+from importlens.plans import inputs
 from importlens.session import work_dir
 from importlens.sinks.files import write_csv
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
@@ -29,7 +29,7 @@ def trade_csv(spark: SparkSession, sf_dir: str) -> str:
     with _LOCK:
         if key not in _STAGED:
             path = work_dir(spark, "landed-trade")
-            write_csv(fx.trade_raw(spark, sf_dir).drop("region_key"), path)
+            write_csv(inputs.trade_raw(spark, sf_dir).drop("region_key"), path)
             _STAGED[key] = path
         return _STAGED[key]
 
@@ -40,7 +40,7 @@ def trade_csv_by_country(spark: SparkSession, sf_dir: str) -> str:
     with _LOCK:
         if key not in _STAGED:
             path = work_dir(spark, "landed-trade-by-country")
-            (fx.trade_raw(spark, sf_dir).drop("region_key")
+            (inputs.trade_raw(spark, sf_dir).drop("region_key")
              .write.mode("overwrite").option("header", True)
              .partitionBy("country_iso3").csv(path))
             _STAGED[key] = path

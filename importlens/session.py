@@ -27,6 +27,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
+        # Parquet sizes on disk are compressed; scale them towards in-memory
+        # size so static broadcast decisions are not made on a fact table.
+        .config("spark.sql.sources.fileCompressionFactor", "4.0")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
