@@ -45,10 +45,15 @@ def capacity(county: DataFrame) -> DataFrame:
 
 def target_factor(indicators: DataFrame, target: str,
                   gdp_name: str = config.GDP_INDICATOR) -> Column:
-    """Scalar GDP factor of one target; NULL when the target has no GDP."""
-    return (scaling_factor(indicators, gdp_name)
-            .filter(F.col("country_iso3") == F.lit(target))
-            .select("gdp_factor").scalar())
+    """Scalar GDP factor of one target; NULL when the target has no GDP.
+
+    Two independent scalar subqueries (the target's average, the largest
+    average) rather than one nested inside the other, so they run side by
+    side and the maximum is shared between targets.
+    """
+    gdp = gdp_averages(indicators, gdp_name)
+    target_avg = gdp.filter(F.col("country_iso3") == F.lit(target)).select("avg_gdp").scalar()
+    return F.try_divide(target_avg, gdp.agg(F.max("avg_gdp")).scalar())
 
 
 def predicted_demand(trade: DataFrame, indicators: DataFrame,

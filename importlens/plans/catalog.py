@@ -366,9 +366,7 @@ FROM host WHERE country_iso3 IN ({_in(fx.HOSTS_SELECTED)})""",
                                     "trade", "indicators", extra=[SQL_SUMMARY, SQL_HOST]))
 def q_hosts_selected(spark, sf):
     """host comparison for a chosen set of countries."""
-    host = measures.host_comparison(inputs.trade(spark, sf), inputs.indicators(spark, sf),
-                                    fx.INDICATOR_NAMES)
-    return report.select_countries(host, fx.HOSTS_SELECTED)
+    return report.select_countries(_host(spark, sf), fx.HOSTS_SELECTED)
 
 
 @query("country_imports", with_views("""
@@ -378,11 +376,28 @@ FROM (SELECT country_iso3, year(month_date) AS year, SUM(trade_value) AS total_i
 GROUP BY 1""", "trade"))
 def q_country_imports(spark, sf):
     """Country totals summed from the country-year table."""
-    return measures.country_imports(measures.imports_by_year(inputs.trade(spark, sf)))
+    return measures.country_imports(_published(spark, sf, "import_by_country_year"))
 
 
 # ============================================================ forecast ======
 
+def _published(spark, sf, name):
+    """A published result table (written once); dashboard data sets read these."""
+    return inputs.result(spark, sf, name)
+
+
+def _pred(spark, sf):
+    return _published(spark, sf, "predicted_stocking_opportunities")
+
+
+def _trend(spark, sf):
+    return _published(spark, sf, "qatar_monthly_import_trend")
+
+
+def _host(spark, sf):
+    return _published(spark, sf, "host_country_comparison")
+
+
 def _scored(spark, sf):
     return forecast.stocking_prediction(inputs.trade(spark, sf), inputs.indicators(spark, sf),
                                         inputs.county(spark, sf), fx.BASELINE, fx.TARGET, fx.GDP)
@@ -473,8 +488,7 @@ SELECT year, month, monthly_import_value, date, growth_rate FROM growth""",
                                     "trade", extra=[SQL_TREND, SQL_GROWTH]))
 def q_monthly_growth(spark, sf):
     """Month-on-month growth of the baseline series."""
-    trend = measures.monthly_trend(inputs.trade(spark, sf), fx.BASELINE)
-    return report.monthly_growth(trend)
+    return report.monthly_growth(_trend(spark, sf))
 
 
 @query("monthly_growth_by_country", with_views("""
@@ -497,8 +511,7 @@ SELECT year, month, monthly_import_value, date, growth_rate FROM growth
 WHERE year IN ({_in(fx.TREND_YEARS)})""", "trade", extra=[SQL_TREND, SQL_GROWTH]))
 def q_trend_selected_years(spark, sf):
     """growth computed on the full series, then the chosen years kept."""
-    trend = measures.monthly_trend(inputs.trade(spark, sf), fx.BASELINE)
-    return report.select_years(report.monthly_growth(trend), fx.TREND_YEARS)
+    return report.select_years(report.monthly_growth(_trend(spark, sf)), fx.TREND_YEARS)
 
 
 @query("topk_commodities", with_views(f"""
@@ -510,7 +523,7 @@ ORDER BY total_import_value DESC, commodity_code, commodity_desc LIMIT 10""",
                                       "trade", "hs2", extra=[SQL_TOPC]))
 def q_topk_commodities(spark, sf):
     """Ten largest (code, description) totals, labelled."""
-    top = measures.top_commodities(inputs.trade(spark, sf), fx.BASELINE)
+    top = _published(spark, sf, "commodity_surges_qatar")
     best = report.top_n(top, "total_import_value", 10, ["commodity_code", "commodity_desc"])
     return report.with_commodity_label(best)
 
@@ -522,7 +535,7 @@ FROM {sql_label("(SELECT * FROM scored WHERE opportunity_score IS NOT NULL ORDER
                                       *_FC_VIEWS, "hs2", extra=[SQL_FORECAST]))
 def q_topk_predictions(spark, sf):
     """O3: ten best opportunity scores, labelled."""
-    best = report.top_n(_scored(spark, sf), "opportunity_score", 10, ["commodity_code"])
+    best = report.top_n(_pred(spark, sf), "opportunity_score", 10, ["commodity_code"])
     return report.with_commodity_label(best)
 
 
@@ -534,7 +547,7 @@ _TOPL = f"""topl AS (
 
 
 def _top_labels(spark, sf):
-    top = report.with_commodity_label(measures.top_commodities(inputs.trade(spark, sf), fx.BASELINE))
+    top = report.with_commodity_label(_published(spark, sf, "commodity_surges_qatar"))
     by_label = report.totals_by_label(top, ["total_import_value"])
     return report.top_n(by_label, "total_import_value", 10, ["commodity_label"])
 
@@ -557,7 +570,7 @@ def q_topk_share(spark, sf):
 
 
 def _by_label(spark, sf):
-    labelled = report.with_commodity_label(_scored(spark, sf))
+    labelled = report.with_commodity_label(_pred(spark, sf))
     return report.totals_by_label(labelled, ["opportunity_score", "predicted_demand", "qatar_demand"])
 
 
@@ -586,7 +599,7 @@ SELECT commodity_code, CAST(qatar_demand AS DOUBLE) AS qatar_demand, predicted_d
                                   *_FC_VIEWS, extra=[SQL_FORECAST]))
 def q_demand_pairs(spark, sf):
     """(baseline, predicted) pairs per code."""
-    return _scored(spark, sf).select("commodity_code", "qatar_demand", "predicted_demand")
+    return _pred(spark, sf).select("commodity_code", "qatar_demand", "predicted_demand")
 
 
 @query("demand_pairs_by_label", with_views("""
@@ -604,8 +617,7 @@ SELECT CAST(SUM(monthly_import_value) AS DOUBLE) AS total_import_value,
 FROM trend WHERE year IN ({_in(fx.TREND_YEARS)})""", "trade", extra=[SQL_TREND]))
 def q_kpi_trend(spark, sf):
     """KPIs of the selected years' monthly series."""
-    trend = measures.monthly_trend(inputs.trade(spark, sf), fx.BASELINE)
-    return report.kpi_trend(report.select_years(trend, fx.TREND_YEARS))
+    return report.kpi_trend(report.select_years(_trend(spark, sf), fx.TREND_YEARS))
 
 
 @query("kpi_hosts", with_views(f"""
@@ -616,9 +628,7 @@ FROM host WHERE country_iso3 IN ({_in(fx.HOSTS_SELECTED)})""",
                                "trade", "indicators", extra=[SQL_SUMMARY, SQL_HOST]))
 def q_kpi_hosts(spark, sf):
     """Countries compared, top importer, combined imports."""
-    host = measures.host_comparison(inputs.trade(spark, sf), inputs.indicators(spark, sf),
-                                    fx.INDICATOR_NAMES)
-    return report.kpi_hosts(report.select_countries(host, fx.HOSTS_SELECTED))
+    return report.kpi_hosts(report.select_countries(_host(spark, sf), fx.HOSTS_SELECTED))
 
 
 @query("kpi_predictions", with_views("""
@@ -629,7 +639,7 @@ SELECT (SELECT CAST(SUM(CAST(predicted_demand AS DECIMAL(38,6))) AS DOUBLE) FROM
 FROM by_label""", *_FC_VIEWS, "hs2", extra=[SQL_FORECAST, SQL_BY_LABEL]))
 def q_kpi_predictions(spark, sf):
     """Total predicted demand, best label, its score."""
-    scored = _scored(spark, sf)
+    scored = _pred(spark, sf)
     by_label = report.totals_by_label(report.with_commodity_label(scored),
                                       ["opportunity_score", "predicted_demand", "qatar_demand"])
     return report.kpi_predictions(scored, by_label)
@@ -641,7 +651,7 @@ _H20, _H30 = sql_hist("scored", 20), sql_hist("by_label", 30)
 @query("score_histogram_20", with_views(_H20[1], *_FC_VIEWS, extra=[SQL_FORECAST] + _H20[0]))
 def q_score_histogram_20(spark, sf):
     """20 equal-width bins of the per-code scores."""
-    return report.histogram(_scored(spark, sf), "opportunity_score", 20)
+    return report.histogram(_pred(spark, sf), "opportunity_score", 20)
 
 
 @query("score_histogram_30", with_views(_H30[1], *_FC_VIEWS, "hs2",
@@ -677,11 +687,10 @@ UNION ALL SELECT DISTINCT 'indicator', indicator_name FROM indicators WHERE valu
                                     "trade", "indicators", extra=[SQL_TREND, SQL_SUMMARY, SQL_HOST]))
 def q_filter_options(spark, sf):
     """Selector option lists (years, countries, indicators)."""
-    t, ind = inputs.trade(spark, sf), inputs.indicators(spark, sf)
     return report.option_lists({
-        "year": measures.monthly_trend(t, fx.BASELINE).select("year"),
-        "country": measures.host_comparison(t, ind, fx.INDICATOR_NAMES).select("country_iso3"),
-        "indicator": measures.indicator_trends(ind).select("indicator_name"),
+        "year": _trend(spark, sf).select("year"),
+        "country": _host(spark, sf).select("country_iso3"),
+        "indicator": _published(spark, sf, "worldbank_indicator_trends").select("indicator_name"),
     })
 
 
@@ -736,7 +745,7 @@ def q_csv_roundtrip(spark, sf):
     from importlens.sinks.files import write_single_csv
     from importlens.sources.files import read_csv_typed
     path = work_dir(spark, "export-imports-by-year")
-    write_single_csv(measures.imports_by_year(inputs.trade(spark, sf)), path)
+    write_single_csv(_published(spark, sf, "import_by_country_year"), path)
     return read_csv_typed(spark, path, "country_iso3 string, year int, "
                           "total_import_value decimal(38,2), distinct_commodities bigint")
 

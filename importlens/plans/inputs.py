@@ -41,3 +41,33 @@ def county(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def indicator_dim(spark: SparkSession) -> DataFrame:
     return dims.indicators(spark, dict(fx.indicator_dim_rows()))
+
+
+def result(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the six published result tables, written once.
+
+    Dashboard data sets read these (as the dashboards read the published
+    tables), so top-N, histograms and KPIs never touch the trade fact.
+    """
+    from importlens.plans.jobs import Cleaned, result_tables
+
+    def build() -> DataFrame:
+        cleaned = Cleaned(trade(spark, sf_dir), indicators(spark, sf_dir), county(spark, sf_dir))
+        return result_tables(cleaned, fx.BASELINE, fx.TARGET, fx.INDICATOR_NAMES, fx.GDP,
+                             sort=False)[name]
+    return materialized(spark, sf_dir, f"result_{name}", build)
+
+
+def results(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All six published tables, written concurrently."""
+    from importlens.plans.jobs import RESULT_TABLES
+    from importlens.plans.stages import build_concurrently
+    return build_concurrently({name: (lambda n=name: result(spark, sf_dir, n)) for name in RESULT_TABLES})
+
+
+def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three cleaned inputs, written concurrently."""
+    from importlens.plans.stages import build_concurrently
+    return build_concurrently({"trade": lambda: trade(spark, sf_dir),
+                               "indicators": lambda: indicators(spark, sf_dir),
+                               "county": lambda: county(spark, sf_dir)})

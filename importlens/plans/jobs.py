@@ -75,20 +75,27 @@ def write_clean(cleaned: Cleaned, out_dir: str) -> Cleaned:
 
 def result_tables(c: Cleaned, baseline: str = config.BASELINE_ISO3, target: str = config.TARGET_ISO3[0],
                   indicator_names: list[str] = config.INDICATOR_NAMES,
-                  gdp_name: str = config.GDP_INDICATOR) -> dict[str, DataFrame]:
-    """The six published tables in their presentation order."""
-    return {
-        "commodity_surges_qatar": measures.top_commodities(c.trade, baseline)
-        .orderBy(F.col("total_import_value").desc()),
-        "qatar_monthly_import_trend": measures.monthly_trend(c.trade, baseline).orderBy("year", "month"),
+                  gdp_name: str = config.GDP_INDICATOR, sort: bool = True) -> dict[str, DataFrame]:
+    """The six published tables (in presentation order when ``sort``)."""
+    tables = {
+        "commodity_surges_qatar": measures.top_commodities(c.trade, baseline),
+        "qatar_monthly_import_trend": measures.monthly_trend(c.trade, baseline),
         "worldbank_indicator_trends": measures.indicator_trends(c.indicators),
-        "import_by_country_year": measures.imports_by_year(c.trade).orderBy("country_iso3", "year"),
-        "host_country_comparison": measures.host_comparison(c.trade, c.indicators, indicator_names)
-        .orderBy("country_iso3"),
+        "import_by_country_year": measures.imports_by_year(c.trade),
+        "host_country_comparison": measures.host_comparison(c.trade, c.indicators, indicator_names),
         "predicted_stocking_opportunities": forecast.stocking_prediction(
-            c.trade, c.indicators, c.county, baseline, target, gdp_name)
-        .orderBy(F.col("opportunity_score").desc()),
+            c.trade, c.indicators, c.county, baseline, target, gdp_name),
+    }
+    if not sort:
+        return tables
+    order = {
+        "commodity_surges_qatar": [F.col("total_import_value").desc()],
+        "qatar_monthly_import_trend": ["year", "month"],
+        "import_by_country_year": ["country_iso3", "year"],
+        "host_country_comparison": ["country_iso3"],
+        "predicted_stocking_opportunities": [F.col("opportunity_score").desc()],
     }
+    return {name: df.orderBy(*order[name]) if name in order else df for name, df in tables.items()}
 
 
 def publish(tables: Mapping[str, DataFrame], out_dir: str, csv: bool = True) -> dict[str, str]:

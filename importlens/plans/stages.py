@@ -15,30 +15,39 @@ from __future__ import annotations
 
 import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from importlens.session import work_dir
 
-_LOCK = threading.RLock()
+_LOCK = threading.Lock()
+_KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
 _DONE: dict[tuple[str, str, str], tuple[str, object]] = {}
 TIMINGS: dict[str, float] = {}
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
                  partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``build()`` once as Parquet and return a reader over it."""
+    """Write ``build()`` once as Parquet and return a reader over it.
+
+    One lock per stage: different stages are written concurrently, the same
+    stage only once.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
+        key_lock = _KEY_LOCKS.setdefault(key, threading.RLock())
+    with key_lock:
         if key not in _DONE:
             df = build()
             path = work_dir(spark, f"stage-{name}")
             t0 = time.perf_counter()
-            writer_df = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-            writer = writer_df.write.mode("overwrite")
             if partition_by:
-                writer = writer.partitionBy(*partition_by)
+                # rebalance: bounded files per partition value, hot values split
+                writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+            else:
+                writer = df.write.mode("overwrite")
             writer.parquet(path)
             TIMINGS[name] = time.perf_counter() - t0
             _DONE[key] = (path, df.schema)
@@ -46,8 +55,16 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def build_concurrently(builders: dict[str, Callable[[], object]], threads: int = 8) -> dict[str, object]:
+    """Run independent stage builders from several threads (Spark runs their jobs side by side)."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(builders)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in builders.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def reset() -> None:
     """Forget memoised stages (files stay; tests use fresh folders)."""
     with _LOCK:
         _DONE.clear()
+        _KEY_LOCKS.clear()
         TIMINGS.clear()

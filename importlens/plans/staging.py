@@ -15,7 +15,7 @@ from importlens.plans import inputs
 from importlens.session import work_dir
 from importlens.sinks.files import write_csv
 
-_LOCK = threading.RLock()
+_LOCK = threading.Lock()
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
@@ -41,7 +41,7 @@ def trade_csv_by_country(spark: SparkSession, sf_dir: str) -> str:
         if key not in _STAGED:
             path = work_dir(spark, "landed-trade-by-country")
             (inputs.trade_raw(spark, sf_dir).drop("region_key")
-             .write.mode("overwrite").option("header", True)
+             .hint("rebalance", "country_iso3").write.mode("overwrite").option("header", True)
              .partitionBy("country_iso3").csv(path))
             _STAGED[key] = path
         return _STAGED[key]
