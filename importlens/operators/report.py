@@ -110,7 +110,8 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
             .filter(F.col("lo").isNotNull())
             .withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(int(bins))))))
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return (grid.join(counts, "bin", "left")
+    # counts has at most ``bins`` rows (one per bin): a proven broadcast bound
+    return (grid.join(F.broadcast(counts), "bin", "left")
             .select("bin",
                     (F.col("lo") + (F.col("bin") - 1) * w).alias("lower"),
                     F.when(F.col("bin") == bins, F.col("hi"))

@@ -20,7 +20,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from importlens.session import work_dir
+from importlens.session import app_id, work_dir
 
 _LOCK = threading.Lock()
 _KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
@@ -35,7 +35,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
     One lock per stage: different stages are written concurrently, the same
     stage only once.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (app_id(spark), sf_dir.rstrip("/"), name)
     with _LOCK:
         key_lock = _KEY_LOCKS.setdefault(key, threading.RLock())
     with key_lock:

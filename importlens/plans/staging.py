@@ -12,7 +12,7 @@ import threading
 from pyspark.sql import SparkSession
 
 from importlens.plans import inputs
-from importlens.session import work_dir
+from importlens.session import app_id, work_dir
 from importlens.sinks.files import write_csv
 
 _LOCK = threading.Lock()
@@ -20,7 +20,7 @@ _STAGED: dict[tuple[str, str, str], str] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    return (app_id(spark), sf_dir.rstrip("/"), what)
 
 
 def trade_csv(spark: SparkSession, sf_dir: str) -> str:

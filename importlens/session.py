@@ -39,16 +39,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 -- sessions without a local context (remote clients)
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "remote")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a scratch one only if unset."""
+    sc = _context(spark)
     current = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="importlens-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current.rstrip("/")
 
 
