@@ -16,6 +16,7 @@ from importlens import config
 from importlens.functions.columns import (
     lenient_number, month_start_from_period, strict_number, zfill,
 )
+from importlens.operators.joins import broadcast_if_small
 from importlens.operators.harmonize import (
     harmonize_trade, normalize_headers, resolve_roles, union_all_by_name,
 )
@@ -73,7 +74,7 @@ def extract_county(df: DataFrame, host_counties: DataFrame, sectors: DataFrame,
     Headers are normalised and resolved by role (error names every missing
     role); the 5-digit FIPS is built from zero-padded state and county; both
     dimension filters are inner joins against configuration-sized tables,
-    so they are broadcast.
+    broadcast after a size check.
     """
     src = normalize_headers(df)
     roles = resolve_roles(src.columns, config.COUNTY_ROLES)
@@ -88,8 +89,8 @@ def extract_county(df: DataFrame, host_counties: DataFrame, sectors: DataFrame,
     counties = host_counties.select("state_county_fips", "city", "state_abbr")
     groups = sectors.select("naics_prefix", "industry_group")
     joined = (keyed
-              .join(F.broadcast(counties), "state_county_fips", "inner")
-              .join(F.broadcast(groups), "naics_prefix", "inner"))
+              .join(broadcast_if_small(counties), "state_county_fips", "inner")
+              .join(broadcast_if_small(groups), "naics_prefix", "inner"))
     return joined.select(
         "city", "state_abbr", "state_county_fips", "naics_code", "naics_prefix", "industry_group",
         strict_number("ESTAB", measure_type).alias("ESTAB"),

@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from importlens.dims import local_table
+
 
 def period_grid(spark: SparkSession, pull_plan: dict[str, list[int]]) -> DataFrame:
     """``country_iso3, year, month, period`` for every planned month (``YYYYMM``)."""
     rows = [(iso3, y) for iso3, years in pull_plan.items() for y in years]
-    plan = spark.createDataFrame(rows, "country_iso3 string, year int")
+    plan = local_table(spark, rows, "country_iso3 string, year int")
     return (plan
             .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
             .withColumn("period", F.format_string("%d%02d", "year", "month")))
@@ -40,7 +42,7 @@ def indicator_coverage(indicators: DataFrame, countries: list[str], names: list[
                        years: list[int]) -> DataFrame:
     """Non-null values per country x indicator x year; ``missing`` when none."""
     spark = indicators.sparkSession
-    grid = (spark.createDataFrame([(c,) for c in countries], "country_iso3 string")
+    grid = (local_table(spark, [(c,) for c in countries], "country_iso3 string")
             .withColumn("indicator_name", F.explode(F.array(*[F.lit(n) for n in names])))
             .withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years]))))
     landed = (indicators.groupBy("country_iso3", "indicator_name", "year")

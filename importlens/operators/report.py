@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from importlens import dims
+from importlens.operators.joins import broadcast_if_small
 from importlens.functions.columns import (
     commodity_label_key, fixed_point_sum, mean, pct_change, sum_keeping_type,
 )
@@ -28,7 +29,7 @@ def with_commodity_label(df: DataFrame, code_col: str = "commodity_code",
     broadcast hash join; a NULL code keeps a NULL label.
     """
     cleaned, key = commodity_label_key(code_col)
-    labels = F.broadcast(dims.hs2_labels(df.sparkSession).withColumnRenamed("label", "_hs2_label"))
+    labels = broadcast_if_small(dims.hs2_labels(df.sparkSession).withColumnRenamed("label", "_hs2_label"))
     keyed = df.withColumns({"_code_clean": cleaned, "_hs2": key})
     return (keyed.join(labels, keyed["_hs2"] == labels["hs2"], "left")
             .withColumn(label_col, F.when(

@@ -46,13 +46,19 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
 
     ``paths`` maps a key (e.g. ISO3) to a folder; the tag is recovered from
     the file path of each row, so one multi-path read replaces a loop of
-    per-key reads and unions.
+    per-key reads and unions. When the folders' last path components are
+    distinct (the usual one-folder-per-key layout) the tag is a single map
+    lookup on that component; otherwise the full folder prefix is matched.
     """
     keys = list(paths.items())
     reader = spark.read.option("header", True)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
     df = reader.csv([p for _, p in keys])
     file_path = F.col("_metadata.file_path")
+    leaves = [folder.rstrip("/").rsplit("/", 1)[-1] for _, folder in keys]
+    if len(set(leaves)) == len(leaves):
+        lookup = F.create_map(*[F.lit(x) for leaf, (key, _) in zip(leaves, keys) for x in (leaf, key)])
+        return df.withColumn(tag, F.element_at(lookup, F.regexp_extract(file_path, r"/([^/]+)/[^/]*$", 1)))
     tag_col = F.lit(None).cast("string")
     for key, folder in reversed(keys):
         prefix = folder.rstrip("/") + "/"

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from importlens.operators.joins import broadcast_if_small
 from importlens.schemas import INDICATOR_ITEMS_DDL
 
 
@@ -30,7 +31,7 @@ def flatten_indicator_payloads(landed: DataFrame, indicator_dim: DataFrame,
                     "indicator_code",
                     F.col("it.value").alias("value"))
             .filter(F.col("year").isin([int(y) for y in years])))
-    names = F.broadcast(indicator_dim.select("indicator_code", "indicator_name"))
+    names = broadcast_if_small(indicator_dim.select("indicator_code", "indicator_name"))
     return (rows.join(names, "indicator_code", "left")
             .select("country_iso3", "country_name", "year", "indicator_code",
                     "indicator_name", "value"))

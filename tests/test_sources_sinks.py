@@ -100,3 +100,15 @@ def test_dimension_sizes(spark):
     assert dims.host_counties(spark).count() == 11
     assert dims.naics_sectors(spark).count() == 8
     assert dims.indicators(spark).count() == 4
+
+
+def test_broadcast_if_small_checks_size(spark):
+    from importlens.operators.joins import broadcast_if_small, estimated_bytes
+    small = dims.hs2_labels(spark)
+    assert estimated_bytes(small) is not None
+    big = spark.range(10_000_000)
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    plan_small = fact.join(broadcast_if_small(small), fact.k == small.hs2.cast("long"))._jdf.queryExecution().optimizedPlan().toString()
+    plan_big = fact.join(broadcast_if_small(big, limit_bytes=1024), fact.k == big.id)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan_small.lower()
+    assert "broadcast" not in plan_big.lower()
