@@ -46,3 +46,20 @@ def test_data_check(spark, tmp_dir):
     assert counts["comtrade_clean"] == (5, 4) and counts["cbp_clean"] == (2, 2)
     assert checks["trade_sample"].count() <= 5
     assert {r.commodity_code for r in checks["distinct_codes"].collect()} == {"01", "02", "TOTAL"}
+
+
+def test_cli_run(spark, tmp_dir):
+    import json
+    import subprocess
+    import sys
+    trade, wb, cbp = _landed(tmp_dir)
+    out = os.path.join(tmp_dir, "cli-out")
+    args = [sys.executable, "-m", "importlens", "run", "--master", "local[2]",
+            "--trade", f"QAT={trade['QAT']}", "--trade", f"USA={trade['USA']}",
+            "--indicators", wb, "--county", cbp[0], "--out", out]
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    res = subprocess.run(args, capture_output=True, text=True, timeout=300, env=env)
+    assert res.returncode == 0, res.stderr[-2000:]
+    published = json.loads(res.stdout.strip().splitlines()[-1])
+    assert sorted(published) == sorted(jobs.RESULT_TABLES)
+    assert os.path.isdir(os.path.join(out, "clean", "comtrade_clean", "country_iso3=QAT"))
