@@ -809,6 +809,42 @@ def q_indicator_coverage(spark, sf):
                                        fx.INDICATOR_NAMES, fx.COVERAGE_YEARS)
 
 
+# ====================================================== dashboard extras ====
+
+@query("topk_commodity_share", with_views("""
+SELECT commodity_code, commodity_desc, CAST(total_import_value AS DOUBLE) AS total_import_value,
+       CAST(total_import_value AS DOUBLE) / CAST(SUM(total_import_value) OVER () AS DOUBLE) AS share
+FROM (SELECT * FROM topc WHERE total_import_value IS NOT NULL
+      ORDER BY total_import_value DESC, commodity_code, commodity_desc LIMIT 10) t""",
+                                          "trade", extra=[SQL_TOPC]))
+def q_topk_commodity_share(spark, sf):
+    """Share of each of the ten largest (code, description) rows within those ten."""
+    top = _published(spark, sf, "commodity_surges_qatar")
+    best = report.top_n(top, "total_import_value", 10, ["commodity_code", "commodity_desc"])
+    return report.share_of_total(best, "total_import_value")
+
+
+@query("imports_selected", with_views(f"""
+SELECT country_iso3, CAST(year(month_date) AS INTEGER) AS year,
+       CAST(SUM(trade_value) AS DOUBLE) AS total_import_value,
+       COUNT(DISTINCT commodity_code) AS distinct_commodities
+FROM trade WHERE country_iso3 IN ({_in(fx.HOSTS_SELECTED)}) GROUP BY 1, 2""", "trade"))
+def q_imports_selected(spark, sf):
+    """yearly import trend of the selected countries."""
+    return report.select_countries(_published(spark, sf, "import_by_country_year"), fx.HOSTS_SELECTED)
+
+
+@query("indicator_slice_selected", with_views(f"""
+SELECT country_iso3, year, CAST(value AS DOUBLE) AS value
+FROM indicators
+WHERE value IS NOT NULL AND indicator_name = {GDP} AND country_iso3 IN ({_in(fx.HOSTS_SELECTED)})""",
+                                              "indicators"))
+def q_indicator_slice_selected(spark, sf):
+    """the chosen indicator for the selected countries."""
+    trends = report.select_countries(_published(spark, sf, "worldbank_indicator_trends"), fx.HOSTS_SELECTED)
+    return measures.indicator_slice(trends, fx.GDP)
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
