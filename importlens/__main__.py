@@ -1,4 +1,9 @@
-"""Command line: ``python -m importlens run --trade QAT=path ... --out dir``."""
+"""Command line.
+
+``python -m importlens run --trade QAT=path ... --indicators f --county f --out dir``
+``python -m importlens dashboard --out dir [--year 2022 ...] [--country USA ...]``
+``python -m importlens check --out dir``
+"""
 
 from __future__ import annotations
 
@@ -18,10 +23,36 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--county", action="append", required=True)
     run.add_argument("--out", required=True)
     run.add_argument("--master", default="local[*]")
+    dash = sub.add_parser("dashboard", help="write the dashboard data sets from published tables")
+    dash.add_argument("--out", required=True, help="folder given to `run --out`")
+    dash.add_argument("--year", action="append", type=int)
+    dash.add_argument("--country", action="append")
+    dash.add_argument("--indicator", default=None)
+    dash.add_argument("--master", default="local[*]")
+    chk = sub.add_parser("check", help="row counts and distinct codes of the cleaned tables")
+    chk.add_argument("--out", required=True, help="folder given to `run --out`")
+    chk.add_argument("--master", default="local[*]")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
-    trade = dict(t.split("=", 1) for t in args.trade)
-    print(json.dumps(jobs.run(spark, trade, args.indicators, args.county, args.out)))
+    if args.cmd == "run":
+        trade = dict(t.split("=", 1) for t in args.trade)
+        print(json.dumps(jobs.run(spark, trade, args.indicators, args.county, args.out)))
+    elif args.cmd == "dashboard":
+        params = {"years": args.year, "countries": args.country}
+        if args.indicator:
+            params["indicator"] = args.indicator
+        tables = jobs.dashboard_tables(jobs.read_published(spark, args.out), **params)
+        print(json.dumps(jobs.write_dashboards(tables, args.out)))
+    else:
+        base = args.out.rstrip("/") + "/clean"
+        cleaned = jobs.Cleaned(spark.read.parquet(f"{base}/comtrade_clean"),
+                               spark.read.parquet(f"{base}/worldbank_clean"),
+                               spark.read.parquet(f"{base}/cbp_clean"))
+        checks = jobs.data_check(cleaned)
+        # three rows and the code list: small, bounded results
+        counts = [r.asDict() for r in checks["counts"].collect()]
+        codes = sorted(r[0] for r in checks["distinct_codes"].limit(1000).collect() if r[0] is not None)
+        print(json.dumps({"counts": counts, "distinct_codes": codes}))
     spark.stop()
 
 

@@ -130,6 +130,70 @@ def data_check(c: Cleaned, sample: int = 5) -> dict[str, DataFrame]:
     }
 
 
+def dashboard_tables(published: Mapping[str, DataFrame], years: list[int] | None = None,
+                     countries: list[str] | None = None, indicator: str = config.GDP_INDICATOR,
+                     indicator_names: list[str] = config.INDICATOR_NAMES,
+                     top_labels: int = 10, top_predictions: int = 10) -> dict[str, DataFrame]:
+    """Every dashboard data set, computed from the six published tables.
+
+    ``years`` / ``countries`` are the selectors (all when None); growth is
+    computed on the full monthly series before the year selection.
+    """
+    trend = published["qatar_monthly_import_trend"]
+    growth = report.monthly_growth(trend)
+    trend_sel = report.select_years(trend, years) if years else trend
+    growth_sel = report.select_years(growth, years) if years else growth
+    commodities = report.with_commodity_label(published["commodity_surges_qatar"])
+    top10 = report.top_n(commodities, "total_import_value", 10, ["commodity_code", "commodity_desc"])
+    labels = report.top_n(report.totals_by_label(commodities, ["total_import_value"]),
+                          "total_import_value", top_labels, ["commodity_label"])
+    host = published["host_country_comparison"]
+    yearly = published["import_by_country_year"]
+    trends = published["worldbank_indicator_trends"]
+    if countries:
+        host, yearly, trends = (report.select_countries(df, countries) for df in (host, yearly, trends))
+    pred = report.with_commodity_label(published["predicted_stocking_opportunities"])
+    by_label = report.totals_by_label(pred, ["opportunity_score", "predicted_demand", "qatar_demand"])
+    return {
+        "monthly_growth": growth_sel,
+        "trend_kpis": report.kpi_trend(trend_sel),
+        "top_commodities": top10,
+        "top_commodity_share": report.share_of_total(top10, "total_import_value"),
+        "top_labels": labels,
+        "top_label_share": report.share_of_total(labels, "total_import_value"),
+        "country_imports": measures.country_imports(published["import_by_country_year"]),
+        "imports_by_year_selected": yearly,
+        "hosts_selected": host,
+        "host_kpis": report.kpi_hosts(host),
+        "indicator_pivot_by_country": measures.indicator_pivot(trends, indicator_names, keys=("country_iso3",)),
+        "indicator_selected": measures.indicator_slice(trends, indicator),
+        "top_predictions": report.top_n(pred, "opportunity_score", 10, ["commodity_code"]),
+        "score_histogram": report.histogram(pred, "opportunity_score", 20),
+        "demand_pairs": pred.select("commodity_code", "commodity_label", "qatar_demand", "predicted_demand"),
+        "predictions_by_label": by_label,
+        "top_predictions_by_label": report.top_n(by_label, "opportunity_score", top_predictions,
+                                                 ["commodity_label"]),
+        "label_score_histogram": report.histogram(by_label, "opportunity_score", 30),
+        "prediction_kpis": report.kpi_predictions(pred, by_label),
+    }
+
+
+def read_published(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Readers over the Parquet copies written by ``publish``."""
+    return {name: spark.read.parquet(f"{out_dir.rstrip('/')}/results/{name}/parquet")
+            for name in RESULT_TABLES}
+
+
+def write_dashboards(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """Write each dashboard data set as one Parquet folder (all are small)."""
+    out = {}
+    for name, df in tables.items():
+        path = f"{out_dir.rstrip('/')}/dashboards/{name}"
+        write_parquet(df.coalesce(1), path)
+        out[name] = path
+    return out
+
+
 def run(spark: SparkSession, trade_paths: Mapping[str, str], indicators_path: str | list[str],
         county_paths: list[str], out_dir: str, **params) -> dict[str, str]:
     """Clean, write the stage, compute and publish the six tables."""

@@ -63,3 +63,20 @@ def test_cli_run(spark, tmp_dir):
     published = json.loads(res.stdout.strip().splitlines()[-1])
     assert sorted(published) == sorted(jobs.RESULT_TABLES)
     assert os.path.isdir(os.path.join(out, "clean", "comtrade_clean", "country_iso3=QAT"))
+
+
+def test_dashboard_tables(spark, tmp_dir):
+    trade, wb, cbp = _landed(tmp_dir)
+    jobs.run(spark, trade, wb, cbp, tmp_dir)
+    published = jobs.read_published(spark, tmp_dir)
+    dash = jobs.dashboard_tables(published, years=[2022], countries=["USA", "QAT"])
+    assert {r.commodity_label for r in dash["top_labels"].collect()} == {"Live Animals", "Meat"}
+    k = dash["trend_kpis"].collect()[0]
+    assert k.total_import_value == 150.0 and k.peak_monthly_import == 100.0
+    assert dash["host_kpis"].collect()[0].highest_import_country == "QAT"
+    hist = dash["score_histogram"].collect()
+    assert len(hist) == 20 and sum(r["count"] for r in hist) == 2
+    shares = [r.share for r in dash["top_commodity_share"].collect()]
+    assert abs(sum(shares) - 1.0) < 1e-12
+    written = jobs.write_dashboards(dash, tmp_dir)
+    assert spark.read.parquet(written["prediction_kpis"]).count() == 1
