@@ -58,7 +58,9 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
     leaves = [folder.rstrip("/").rsplit("/", 1)[-1] for _, folder in keys]
     if len(set(leaves)) == len(leaves):
         lookup = F.create_map(*[F.lit(x) for leaf, (key, _) in zip(leaves, keys) for x in (leaf, key)])
-        return df.withColumn(tag, F.element_at(lookup, F.regexp_extract(file_path, r"/([^/]+)/[^/]*$", 1)))
+        # parent folder name: two substring_index calls, no regular expression per row
+        parent = F.substring_index(F.substring_index(file_path, "/", -2), "/", 1)
+        return df.withColumn(tag, F.element_at(lookup, parent))
     tag_col = F.lit(None).cast("string")
     for key, folder in reversed(keys):
         prefix = folder.rstrip("/") + "/"
