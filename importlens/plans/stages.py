@@ -20,7 +20,9 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from importlens.session import app_id, work_dir
+from pyspark import inheritable_thread_target
+
+from importlens.session import _context, app_id, work_dir
 
 _LOCK = threading.Lock()
 _KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
@@ -48,7 +50,15 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
                 writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
             else:
                 writer = df.write.mode("overwrite")
-            writer.parquet(path)
+            sc = _context(spark)
+            previous = sc.getLocalProperty("spark.job.description") if sc is not None else None
+            if sc is not None:
+                sc.setJobDescription(f"stage-write:{name}")
+            try:
+                writer.parquet(path)
+            finally:
+                if sc is not None:
+                    sc.setJobDescription(previous)
             TIMINGS[name] = time.perf_counter() - t0
             _DONE[key] = (path, df.schema)
         path, schema = _DONE[key]
@@ -58,7 +68,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
 def build_concurrently(builders: dict[str, Callable[[], object]], threads: int = 8) -> dict[str, object]:
     """Run independent stage builders from several threads (Spark runs their jobs side by side)."""
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(builders)))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in builders.items()}
+        # inherit the caller's Spark local properties (job group / description)
+        futures = {name: pool.submit(inheritable_thread_target(fn)) for name, fn in builders.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
