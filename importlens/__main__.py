@@ -49,10 +49,15 @@ def main(argv: list[str] | None = None) -> None:
                                spark.read.parquet(f"{base}/worldbank_clean"),
                                spark.read.parquet(f"{base}/cbp_clean"))
         checks = jobs.data_check(cleaned)
-        # three rows and the code list: small, bounded results
-        counts = [r.asDict() for r in checks["counts"].collect()]
-        codes = sorted(r[0] for r in checks["distinct_codes"].limit(1000).collect() if r[0] is not None)
-        print(json.dumps({"counts": counts, "distinct_codes": codes}))
+        written = {}
+        for name, df in checks.items():     # every check result is written whole
+            path = f"{args.out.rstrip('/')}/check/{name}"
+            df.write.mode("overwrite").parquet(path)
+            written[name] = path
+        # the counts table has one row per cleaned table (three rows)
+        counts = [r.asDict() for r in spark.read.parquet(written["counts"]).collect()]
+        n_codes = spark.read.parquet(written["distinct_codes"]).count()
+        print(json.dumps({"counts": counts, "distinct_codes": n_codes, "written": written}))
     spark.stop()
 
 

@@ -80,3 +80,18 @@ def test_dashboard_tables(spark, tmp_dir):
     assert abs(sum(shares) - 1.0) < 1e-12
     written = jobs.write_dashboards(dash, tmp_dir)
     assert spark.read.parquet(written["prediction_kpis"]).count() == 1
+
+
+def test_cli_check(spark, tmp_dir):
+    import json
+    import subprocess
+    import sys
+    trade, wb, cbp = _landed(tmp_dir)
+    jobs.run(spark, trade, wb, cbp, tmp_dir)
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    res = subprocess.run([sys.executable, "-m", "importlens", "check", "--master", "local[2]", "--out", tmp_dir],
+                         capture_output=True, text=True, timeout=300, env=env)
+    assert res.returncode == 0, res.stderr[-2000:]
+    out = json.loads(res.stdout.strip().splitlines()[-1])
+    assert out["distinct_codes"] == 3
+    assert {c["table_name"]: c["row_count"] for c in out["counts"]}["comtrade_clean"] == 5
