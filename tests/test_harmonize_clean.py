@@ -143,3 +143,15 @@ def test_clean_indicators_types(spark):
     rows = clean_indicators(df).collect()
     assert rows[0].year == 2022 and rows[0].value == 1.5
     assert rows[1].year is None and rows[1].value is None
+
+
+def test_dimension_joins_are_broadcast(spark):
+    from importlens.operators.report import with_commodity_label
+    raw = spark.createDataFrame([("6", "37", "23----", "1", "2", "3")],
+                                "STATE string, COUNTY string, NAICS string, EST string, EMP string, AP string")
+    plan = extract_county(raw, dims.host_counties(spark), dims.naics_sectors(spark)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    codes = spark.createDataFrame([("01",)], "commodity_code string")
+    plan = with_commodity_label(codes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
