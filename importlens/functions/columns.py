@@ -46,9 +46,16 @@ def month_start_from_period(period: str | Column) -> Column:
 
 
 def zfill(c: str | Column, width: int) -> Column:
-    """Left-pad with zeros up to ``width``; longer text is kept whole."""
+    """Left-pad with zeros up to ``width``; longer text is kept whole.
+
+    A leading sign stays in front of the padding (``'-1'`` -> ``'-01'``).
+    """
     s = _col(c).cast("string")
-    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+    head = F.substring(s, 1, 1)
+    signed = F.concat(head, F.lpad(F.substring(s, 2, width), width - 1, "0"))
+    return (F.when(F.length(s) >= width, s)
+            .when(head.isin("+", "-"), signed)
+            .otherwise(F.lpad(s, width, "0")))
 
 
 def strip_ws(c: str | Column) -> Column:
