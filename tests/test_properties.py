@@ -71,3 +71,15 @@ def test_histogram_matches_numpy(spark):
         assert got == [int(x) for x in want]
         lows = [r.lower for r in histogram(df, "opportunity_score", n_bins).orderBy("bin").collect()]
         assert np.allclose(lows, edges[:-1])
+
+
+def test_growth_matches_pandas_pct_change(spark):
+    from importlens.operators.report import monthly_growth
+    from importlens.plans import inputs
+    from importlens.operators.measures import monthly_trend
+    trend = monthly_trend(inputs.trade(spark, "/root/testdata/sf0.01"), "NATION_1")
+    got = monthly_growth(trend).orderBy("date").toPandas()
+    series = got["monthly_import_value"].astype(float)
+    want = series.pct_change() * 100
+    assert got["growth_rate"].isna().iloc[0] and want.isna().iloc[0]
+    assert np.allclose(got["growth_rate"].iloc[1:].astype(float), want.iloc[1:], rtol=1e-12)
