@@ -21,11 +21,10 @@ def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned trade fact (value as exact decimal), partitioned by country.
 
-    Cleaned straight from the landed view (the same rows the raw stage
-    holds), so the two stages can be written side by side.
+    Cleaned from the written landing stage, so the raw joins run once.
     """
     return materialized(spark, sf_dir, "trade_clean",
-                        lambda: clean_trade(fx.trade_raw(spark, sf_dir).drop("region_key"), fx.MEASURE),
+                        lambda: clean_trade(trade_raw(spark, sf_dir).drop("region_key"), fx.MEASURE),
                         partition_by=["country_iso3"])
 
 
@@ -72,7 +71,6 @@ def results(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three cleaned inputs, written concurrently."""
     from importlens.plans.stages import build_concurrently
-    return build_concurrently({"trade_raw": lambda: trade_raw(spark, sf_dir),
-                               "trade": lambda: trade(spark, sf_dir),
+    return build_concurrently({"trade": lambda: trade(spark, sf_dir),
                                "indicators": lambda: indicators(spark, sf_dir),
                                "county": lambda: county(spark, sf_dir)})
