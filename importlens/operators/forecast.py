@@ -2,8 +2,8 @@
 
 Baseline demand per commodity is scaled by a target country's GDP factor
 (its average GDP over the largest country average) and divided by the
-average county capacity plus one. The three scalars (max GDP, capacity,
-target factor) are scalar subqueries: each is a one-row aggregate that
+average county capacity plus one. The scalars (max GDP with the targets'
+averages, capacity) are scalar subqueries: each is a one-row aggregate that
 Spark evaluates inside the plan, with no driver round trip and no cross
 join. A target without GDP yields a NULL factor, not an error.
 """
@@ -43,17 +43,31 @@ def capacity(county: DataFrame) -> DataFrame:
     return county.agg(mean("employment").alias("avg_employment"))
 
 
-def target_factor(indicators: DataFrame, target: str,
-                  gdp_name: str = config.GDP_INDICATOR) -> Column:
-    """Scalar GDP factor of one target; NULL when the target has no GDP.
+def target_factors(indicators: DataFrame, targets: list[str],
+                   gdp_name: str = config.GDP_INDICATOR) -> Column:
+    """``array<struct<target_iso3, gdp_factor>>`` for the given targets, as one scalar.
 
-    Two independent scalar subqueries (the target's average, the largest
-    average) rather than one nested inside the other, so they run side by
-    side and the maximum is shared between targets.
+    One scalar subquery returns the largest average GDP together with a
+    map from each requested target to its average (at most ``len(targets)``
+    entries, the caller's list). A target without GDP gets a NULL factor.
     """
     gdp = gdp_averages(indicators, gdp_name)
-    target_avg = gdp.filter(F.col("country_iso3") == F.lit(target)).select("avg_gdp").scalar()
-    return F.try_divide(target_avg, gdp.agg(F.max("avg_gdp")).scalar())
+    wanted = F.when(F.col("country_iso3").isin(list(targets)), F.struct("country_iso3", "avg_gdp"))
+    stats = gdp.agg(F.struct(F.max("avg_gdp").alias("max_gdp"),
+                             F.map_from_entries(F.collect_list(wanted)).alias("avg_by_target"))
+                    .alias("s")).scalar()
+    return F.array(*[
+        F.struct(F.lit(t).alias("target_iso3"),
+                 F.try_divide(F.try_element_at(stats.getField("avg_by_target"), F.lit(t)),
+                              stats.getField("max_gdp")).alias("gdp_factor"))
+        for t in targets
+    ])
+
+
+def target_factor(indicators: DataFrame, target: str,
+                  gdp_name: str = config.GDP_INDICATOR) -> Column:
+    """Scalar GDP factor of one target; NULL when the target has no GDP."""
+    return target_factors(indicators, [target], gdp_name).getItem(0).getField("gdp_factor")
 
 
 def predicted_demand(trade: DataFrame, indicators: DataFrame,
@@ -62,16 +76,12 @@ def predicted_demand(trade: DataFrame, indicators: DataFrame,
                      gdp_name: str = config.GDP_INDICATOR) -> DataFrame:
     """Baseline demand scaled by each target's factor: one row per code and target.
 
-    The targets are a short, caller-given list; each factor is one scalar
-    subquery and the (target, factor) pairs ride along as a literal-sized
-    array, so the demand side is computed once.
+    The targets are a short, caller-given list; all factors come from one
+    scalar subquery and ride along as a target-sized array, so the demand
+    side is computed once.
     """
     targets = list(targets or config.TARGET_ISO3)
-    pairs = F.array(*[
-        F.struct(F.lit(t).alias("target_iso3"),
-                 target_factor(indicators, t, gdp_name).alias("gdp_factor"))
-        for t in targets
-    ])
+    pairs = target_factors(indicators, targets, gdp_name)
     demand = baseline_demand(trade, baseline)
     return (demand.select("commodity_code", "qatar_demand", F.inline(pairs))
             .withColumn("predicted_demand",

@@ -65,12 +65,13 @@ def results(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All six published tables, written concurrently."""
     from importlens.plans.jobs import RESULT_TABLES
     from importlens.plans.stages import build_concurrently
-    return build_concurrently({name: (lambda n=name: result(spark, sf_dir, n)) for name in RESULT_TABLES})
+    return build_concurrently(spark, {name: (lambda n=name: result(spark, sf_dir, n))
+                                      for name in RESULT_TABLES})
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three cleaned inputs, written concurrently."""
     from importlens.plans.stages import build_concurrently
-    return build_concurrently({"trade": lambda: trade(spark, sf_dir),
+    return build_concurrently(spark, {"trade": lambda: trade(spark, sf_dir),
                                "indicators": lambda: indicators(spark, sf_dir),
                                "county": lambda: county(spark, sf_dir)})

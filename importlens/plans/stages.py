@@ -65,11 +65,12 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def build_concurrently(builders: dict[str, Callable[[], object]], threads: int = 8) -> dict[str, object]:
+def build_concurrently(spark: SparkSession, builders: dict[str, Callable[[], object]],
+                       threads: int = 8) -> dict[str, object]:
     """Run independent stage builders from several threads (Spark runs their jobs side by side)."""
+    wrap = inheritable_thread_target(spark)   # inherit local properties and tags
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(builders)))) as pool:
-        # inherit the caller's Spark local properties (job group / description)
-        futures = {name: pool.submit(inheritable_thread_target(fn)) for name, fn in builders.items()}
+        futures = {name: pool.submit(wrap(fn)) for name, fn in builders.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
