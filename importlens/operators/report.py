@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from importlens import dims
+from importlens.dims import local_table
 from importlens.operators.joins import broadcast_if_small
 from importlens.functions.columns import (
     commodity_label_key, fixed_point_sum, mean, pct_change, sum_keeping_type,
@@ -96,27 +97,25 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
 
     Returns every bin ``1..bins`` with ``lower``, ``upper`` and ``count``; the
     last bin is closed on the right; when ``min == max`` all values fall in
-    bin 1. Bounds come from one global aggregate used as a scalar subquery,
-    and the counting is a partial + final aggregate on the bin number.
+    bin 1; no values gives no rows. Two passes over the input: the bounds
+    are one global aggregate used as a scalar subquery, and the counting is
+    a partial + final aggregate on the bin number. The bin list itself is a
+    ``bins``-row inline table, and only the per-bin counts (at most ``bins``
+    rows, a proven bound) are broadcast to it.
     """
     values = df.select(F.col(measure).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b"))
-    b = bounds.scalar()
+    b = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
     lo, hi = b.getField("lo"), b.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     bin_of = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor(F.try_divide(F.col("v") - lo, width)) + F.lit(1), F.lit(bins)))
     counts = values.groupBy(bin_of.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = (bounds.select(F.col("b.lo").alias("lo"), F.col("b.hi").alias("hi"))
-            .filter(F.col("lo").isNotNull())
-            .withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(int(bins))))))
-    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    # counts has at most ``bins`` rows (one per bin): a proven broadcast bound
-    return (grid.join(F.broadcast(counts), "bin", "left")
+    grid = local_table(df.sparkSession, [(i,) for i in range(1, int(bins) + 1)], "bin int")
+    return (grid.filter(lo.isNotNull())
+            .join(F.broadcast(counts), "bin", "left")
             .select("bin",
-                    (F.col("lo") + (F.col("bin") - 1) * w).alias("lower"),
-                    F.when(F.col("bin") == bins, F.col("hi"))
-                    .otherwise(F.col("lo") + F.col("bin") * w).alias("upper"),
+                    (lo + (F.col("bin") - 1) * width).alias("lower"),
+                    F.when(F.col("bin") == bins, hi).otherwise(lo + F.col("bin") * width).alias("upper"),
                     F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
