@@ -30,6 +30,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         # Parquet sizes on disk are compressed; scale them towards in-memory
         # size so static broadcast decisions are not made on a fact table.
         .config("spark.sql.sources.fileCompressionFactor", "4.0")
+        # long-running drivers: keep the status store (kept even without a UI) small
+        .config("spark.ui.retainedJobs", "200")
+        .config("spark.ui.retainedStages", "200")
+        .config("spark.sql.ui.retainedExecutions", "50")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
