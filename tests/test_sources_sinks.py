@@ -112,3 +112,12 @@ def test_broadcast_if_small_checks_size(spark):
     plan_big = fact.join(broadcast_if_small(big, limit_bytes=1024), fact.k == big.id)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan_small.lower()
     assert "broadcast" not in plan_big.lower()
+
+
+def test_inferred_read_loses_leading_zeros(spark, tmp_dir):
+    """Why stages declare schemas: inference turns codes into numbers."""
+    from importlens.sources.files import read_csv_inferred
+    p = write_text(tmp_dir, "cbp.csv", "fips,emp\n06037,5\n")
+    inferred = read_csv_inferred(spark, p).collect()[0]
+    assert inferred.fips == 6037
+    assert read_csv_strings(spark, p).collect()[0].fips == "06037"
