@@ -761,7 +761,7 @@ WHERE year IN ({_FLAT_YEARS}) AND NOT country_iso3 LIKE '%7' AND NOT country_iso
 GROUP BY 1, 2, 3, 4, 5""", "indicators"))
 def q_wb_flatten(spark, sf):
     """Landed JSON responses flattened to rows, years filtered."""
-    payloads = fx.indicator_payloads(spark, sf)
+    payloads = fx.indicator_payloads(inputs.indicators(spark, sf))
     return flatten_indicator_payloads(payloads, inputs.indicator_dim(spark), fx.INDICATOR_YEARS)
 
 

@@ -111,8 +111,8 @@ def indicator_dim_rows() -> list[tuple[str, str]]:
     return [(f"EV.{n.upper()}", n) for n in INDICATOR_NAMES]
 
 
-def indicator_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed JSON responses, one per (country, indicator code).
+def indicator_payloads(rows: DataFrame) -> DataFrame:
+    """Landed JSON responses, one per (country, indicator code), from cleaned indicator rows.
 
     Each response carries one item per year (the year's average, as an API
     returns one value per year), so a payload holds at most 31 items.
@@ -120,9 +120,7 @@ def indicator_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``[meta, null]`` -- the two shapes that must yield no rows.
     """
     from importlens.functions.columns import mean
-    from importlens.operators.clean import clean_indicators
 
-    rows = clean_indicators(indicator_raw(spark, sf_dir), MEASURE)
     per_year = (rows.groupBy("country_iso3", "country_name", "indicator_code", "year")
                 .agg(mean("value").alias("value")))
     item = F.struct(F.struct(F.col("country_name").alias("value")).alias("country"),

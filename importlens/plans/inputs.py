@@ -14,8 +14,12 @@ from importlens.plans.stages import materialized
 
 
 def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landed export (text columns), written once."""
-    return materialized(spark, sf_dir, "trade_raw", lambda: fx.trade_raw(spark, sf_dir))
+    """The landed export (text columns), written once, one folder per country.
+
+    As exports land per country, reads of one country's pull prune to its folder.
+    """
+    return materialized(spark, sf_dir, "trade_raw", lambda: fx.trade_raw(spark, sf_dir),
+                        partition_by=["country_iso3"])
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
