@@ -2,8 +2,9 @@
 
 Library code never builds its own session; it receives one. ``build_session``
 is for tests, the bench and the command line. ``work_dir`` returns a folder
-under ``spark.checkpoint.dir`` (the shared folder the cluster names) and only
-falls back to a local scratch folder when that setting is unset, as in tests.
+under ``spark.checkpoint.dir`` (the shared folder the cluster names). Only a
+``local[...]`` session without that setting (tests) gets a scratch folder; on
+a cluster an unset setting is an error, never a machine-local path.
 """
 
 from __future__ import annotations
@@ -64,7 +65,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="importlens-ckpt-")
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError(
+                f"{_CHECKPOINT_KEY} is not set: on a cluster it must name a shared folder "
+                "(stages, exports and stream checkpoints are written there)")
+        current = tempfile.mkdtemp(prefix="importlens-ckpt-")   # local runs and tests only
         spark.conf.set(_CHECKPOINT_KEY, current)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
