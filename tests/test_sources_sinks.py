@@ -121,3 +121,31 @@ def test_inferred_read_loses_leading_zeros(spark, tmp_dir):
     inferred = read_csv_inferred(spark, p).collect()[0]
     assert inferred.fips == 6037
     assert read_csv_strings(spark, p).collect()[0].fips == "06037"
+
+
+def test_cluster_session_needs_shared_checkpoint_dir():
+    import pytest
+    from importlens.session import ensure_checkpoint_dir
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class Stub:
+        def __init__(self, values):
+            self.conf = Conf(values)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no local context")
+
+    with pytest.raises(ValueError, match="shared folder"):
+        ensure_checkpoint_dir(Stub({"spark.master": "spark://cluster:7077"}))
+    assert ensure_checkpoint_dir(Stub({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/ckpt/"})) \
+        == "hdfs:///shared/ckpt"
