@@ -43,19 +43,21 @@ def capacity(county: DataFrame) -> DataFrame:
     return county.agg(mean("employment").alias("avg_employment"))
 
 
-def target_factors(indicators: DataFrame, targets: list[str],
-                   gdp_name: str = config.GDP_INDICATOR) -> Column:
-    """``array<struct<target_iso3, gdp_factor>>`` for the given targets, as one scalar.
+def factor_stats(indicators: DataFrame, targets: list[str],
+                 gdp_name: str = config.GDP_INDICATOR) -> Column:
+    """One scalar subquery: ``struct<max_gdp, avg_by_target: map<iso3, avg>>``.
 
-    One scalar subquery returns the largest average GDP together with a
-    map from each requested target to its average (at most ``len(targets)``
-    entries, the caller's list). A target without GDP gets a NULL factor.
+    The map holds at most ``len(targets)`` entries (the caller's list).
     """
     gdp = gdp_averages(indicators, gdp_name)
     wanted = F.when(F.col("country_iso3").isin(list(targets)), F.struct("country_iso3", "avg_gdp"))
-    stats = gdp.agg(F.struct(F.max("avg_gdp").alias("max_gdp"),
-                             F.map_from_entries(F.collect_list(wanted)).alias("avg_by_target"))
-                    .alias("s")).scalar()
+    return gdp.agg(F.struct(F.max("avg_gdp").alias("max_gdp"),
+                            F.map_from_entries(F.collect_list(wanted)).alias("avg_by_target"))
+                   .alias("s")).scalar()
+
+
+def factors_from(stats: Column, targets: list[str]) -> Column:
+    """``array<struct<target_iso3, gdp_factor>>`` from a ``factor_stats`` value."""
     return F.array(*[
         F.struct(F.lit(t).alias("target_iso3"),
                  F.try_divide(F.try_element_at(stats.getField("avg_by_target"), F.lit(t)),
@@ -64,6 +66,12 @@ def target_factors(indicators: DataFrame, targets: list[str],
     ])
 
 
+def target_factors(indicators: DataFrame, targets: list[str],
+                   gdp_name: str = config.GDP_INDICATOR) -> Column:
+    """Factors of the given targets (NULL for a target without GDP), as one scalar."""
+    return factors_from(factor_stats(indicators, targets, gdp_name), targets)
+
+
 def target_factor(indicators: DataFrame, target: str,
                   gdp_name: str = config.GDP_INDICATOR) -> Column:
     """Scalar GDP factor of one target; NULL when the target has no GDP."""
@@ -81,9 +89,12 @@ def predicted_demand(trade: DataFrame, indicators: DataFrame,
     side is computed once.
     """
     targets = list(targets or config.TARGET_ISO3)
-    pairs = target_factors(indicators, targets, gdp_name)
     demand = baseline_demand(trade, baseline)
-    return (demand.select("commodity_code", "qatar_demand", F.inline(pairs))
+    # the scalar is projected once, then the per-target pairs are read from it
+    with_stats = demand.select("commodity_code", "qatar_demand",
+                               factor_stats(indicators, targets, gdp_name).alias("_s"))
+    return (with_stats.select("commodity_code", "qatar_demand",
+                              F.inline(factors_from(F.col("_s"), targets)))
             .withColumn("predicted_demand",
                         F.col("qatar_demand").cast("double") * F.col("gdp_factor"))
             .select("commodity_code", "target_iso3", "qatar_demand", "predicted_demand"))

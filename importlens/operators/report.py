@@ -104,15 +104,17 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
     rows, a proven bound) are broadcast to it.
     """
     values = df.select(F.col(measure).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    b = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
-    lo, hi = b.getField("lo"), b.getField("hi")
+    bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("b")).scalar()
+    # the scalar is projected once per side and read from that column
+    lo, hi = F.col("b.lo"), F.col("b.hi")
     width = (hi - lo) / F.lit(float(bins))
     bin_of = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor(F.try_divide(F.col("v") - lo, width)) + F.lit(1), F.lit(bins)))
-    counts = values.groupBy(bin_of.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = local_table(df.sparkSession, [(i,) for i in range(1, int(bins) + 1)], "bin int")
-    return (grid.filter(lo.isNotNull())
-            .join(F.broadcast(counts), "bin", "left")
+    counts = (values.select("v", bounds.alias("b"))
+              .groupBy(bin_of.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    grid = (local_table(df.sparkSession, [(i,) for i in range(1, int(bins) + 1)], "bin int")
+            .select("bin", bounds.alias("b")).filter(lo.isNotNull()))
+    return (grid.join(F.broadcast(counts), "bin", "left")
             .select("bin",
                     (lo + (F.col("bin") - 1) * width).alias("lower"),
                     F.when(F.col("bin") == bins, hi).otherwise(lo + F.col("bin") * width).alias("upper"),
