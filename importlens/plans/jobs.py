@@ -25,7 +25,7 @@ from importlens.operators import forecast, measures, report
 from importlens.operators.clean import clean_county, clean_indicators, clean_trade, extract_county
 from importlens.operators.harmonize import union_all_by_name
 from importlens.sinks.files import write_jdbc, write_parquet, write_single_csv
-from importlens.sources.files import read_csv_strings
+from importlens.sources.files import read_csv_strings, read_tagged
 
 RESULT_TABLES = [
     "commodity_surges_qatar",
@@ -45,10 +45,21 @@ class Cleaned:
 
 
 def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_path: str | list[str],
-                county_paths: list[str], measure_type: str = "double") -> Cleaned:
-    """Read and clean the landed files (lazy; nothing runs yet)."""
-    trade = clean_trade({iso: read_csv_strings(spark, p) for iso, p in trade_paths.items()},
-                        measure_type)
+                county_paths: list[str], measure_type: str = "double",
+                one_layout: bool = False) -> Cleaned:
+    """Read and clean the landed files (lazy; nothing runs yet).
+
+    By default each country's export is read on its own, so each may have
+    its own header layout. With ``one_layout`` (all exports share a header)
+    every country is read in one tagged scan, which keeps the plan one scan
+    wide however many countries there are.
+    """
+    if one_layout:
+        landed = read_tagged(spark, dict(trade_paths), tag="country_iso3")
+        trade = clean_trade(landed, measure_type)
+    else:
+        trade = clean_trade({iso: read_csv_strings(spark, p) for iso, p in trade_paths.items()},
+                            measure_type)
     indicators = clean_indicators(read_csv_strings(spark, indicators_path), measure_type)
     hosts, sectors = dims.host_counties(spark), dims.naics_sectors(spark)
     county = clean_county(union_all_by_name(

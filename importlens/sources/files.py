@@ -7,6 +7,7 @@ for ad-hoc profiling only.
 
 from __future__ import annotations
 
+import os
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,11 +45,12 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
                 tag: str = "country_iso3") -> DataFrame:
     """Read several folders in one scan and tag each row with its folder's key.
 
-    ``paths`` maps a key (e.g. ISO3) to a folder; the tag is recovered from
-    the file path of each row, so one multi-path read replaces a loop of
-    per-key reads and unions. When the folders' last path components are
-    distinct (the usual one-folder-per-key layout) the tag is a single map
-    lookup on that component; otherwise the full folder prefix is matched.
+    ``paths`` maps a key (e.g. ISO3) to a folder or a file; the tag is
+    recovered from the file path of each row, so one multi-path read
+    replaces a loop of per-key reads and unions. When the paths are folders
+    with distinct last components (the usual one-folder-per-key layout) the
+    tag is a single map lookup on the row's parent folder; otherwise each
+    folder is matched as a path prefix and each file by its full path.
     """
     keys = list(paths.items())
     reader = spark.read.option("header", True)
@@ -56,15 +58,18 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
     df = reader.csv([p for _, p in keys])
     file_path = F.col("_metadata.file_path")
     leaves = [folder.rstrip("/").rsplit("/", 1)[-1] for _, folder in keys]
-    if len(set(leaves)) == len(leaves):
+    folders = all(os.path.isdir(p) for _, p in keys if "://" not in p and not p.startswith("file:"))
+    if folders and len(set(leaves)) == len(leaves):
         lookup = F.create_map(*[F.lit(x) for leaf, (key, _) in zip(leaves, keys) for x in (leaf, key)])
         # parent folder name: two substring_index calls, no regular expression per row
         parent = F.substring_index(F.substring_index(file_path, "/", -2), "/", 1)
         return df.withColumn(tag, F.element_at(lookup, parent))
     tag_col = F.lit(None).cast("string")
-    for key, folder in reversed(keys):
-        prefix = folder.rstrip("/") + "/"
-        tag_col = F.when(F.locate(_path_tail(prefix), file_path) > 0, F.lit(key)).otherwise(tag_col)
+    for key, target in reversed(keys):
+        tail = _path_tail(target.rstrip("/"))
+        # a folder matches as a path prefix, a single file by its full path
+        hit = (F.locate(tail + "/", file_path) > 0) | file_path.endswith(tail)
+        tag_col = F.when(hit, F.lit(key)).otherwise(tag_col)
     return df.withColumn(tag, tag_col)
 
 

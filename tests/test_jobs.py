@@ -95,3 +95,19 @@ def test_cli_check(spark, tmp_dir):
     out = json.loads(res.stdout.strip().splitlines()[-1])
     assert out["distinct_codes"] == 3
     assert {c["table_name"]: c["row_count"] for c in out["counts"]}["comtrade_clean"] == 5
+
+
+def test_one_layout_single_scan_matches_per_country_reads(spark, tmp_dir):
+    _, wb, cbp = _landed(tmp_dir)
+    same = os.path.join(tmp_dir, "one-layout")
+    os.makedirs(same)
+    header = "cmdCode,cmdDesc,primaryValue,period\n"
+    q = write_text(same, "comtrade_QAT.csv", header + "01,a,100,202201\n02,b,50,202202\n")
+    u = write_text(same, "comtrade_USA.csv", header + "01,a,10,202301\n")
+    paths = {"QAT": q, "USA": u}
+    per_country = jobs.load_landed(spark, paths, wb, cbp).trade
+    one_scan = jobs.load_landed(spark, paths, wb, cbp, one_layout=True).trade
+    cols = ["country_iso3", "commodity_code", "trade_value", "month_date"]
+    assert sorted(one_scan.select(cols).collect()) == sorted(per_country.select(cols).collect())
+    plan = one_scan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
