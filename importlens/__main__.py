@@ -23,6 +23,8 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--county", action="append", required=True)
     run.add_argument("--out", required=True)
     run.add_argument("--master", default="local[*]")
+    run.add_argument("--one-layout", action="store_true",
+                     help="all trade exports share one header: read them in one scan")
     dash = sub.add_parser("dashboard", help="write the dashboard data sets from published tables")
     dash.add_argument("--out", required=True, help="folder given to `run --out`")
     dash.add_argument("--year", action="append", type=int)
@@ -36,7 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     if args.cmd == "run":
         trade = dict(t.split("=", 1) for t in args.trade)
-        print(json.dumps(jobs.run(spark, trade, args.indicators, args.county, args.out)))
+        print(json.dumps(jobs.run(spark, trade, args.indicators, args.county, args.out,
+                                  one_layout=args.one_layout)))
     elif args.cmd == "dashboard":
         params = {"years": args.year, "countries": args.country}
         if args.indicator:

@@ -206,7 +206,8 @@ def write_dashboards(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str,
 
 
 def run(spark: SparkSession, trade_paths: Mapping[str, str], indicators_path: str | list[str],
-        county_paths: list[str], out_dir: str, **params) -> dict[str, str]:
+        county_paths: list[str], out_dir: str, one_layout: bool = False, **params) -> dict[str, str]:
     """Clean, write the stage, compute and publish the six tables."""
-    cleaned = write_clean(load_landed(spark, trade_paths, indicators_path, county_paths), out_dir)
+    landed = load_landed(spark, trade_paths, indicators_path, county_paths, one_layout=one_layout)
+    cleaned = write_clean(landed, out_dir)
     return publish(result_tables(cleaned, **params), out_dir)
