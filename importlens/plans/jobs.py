@@ -68,11 +68,18 @@ def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_
     return Cleaned(trade, indicators, county)
 
 
-def write_clean(cleaned: Cleaned, out_dir: str) -> Cleaned:
-    """Write the cleaned tables (the stage boundary) and read them back."""
+def write_clean(cleaned: Cleaned, out_dir: str, rebalance: bool = True) -> Cleaned:
+    """Write the cleaned tables (the stage boundary) and read them back.
+
+    ``rebalance`` shuffles the trade rows by country before the partitioned
+    write (bounded files per country, a large country split over many
+    tasks). It is needed when landed files mix countries; when each landed
+    file holds one country it can be turned off to save the shuffle.
+    """
     spark = cleaned.trade.sparkSession
+    trade = cleaned.trade.hint("rebalance", "country_iso3") if rebalance else cleaned.trade
     paths = {
-        "comtrade_clean": (cleaned.trade.hint("rebalance", "country_iso3"), ["country_iso3"]),
+        "comtrade_clean": (trade, ["country_iso3"]),
         "worldbank_clean": (cleaned.indicators, None),
         "cbp_clean": (cleaned.county, None),
     }

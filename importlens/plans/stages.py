@@ -31,11 +31,13 @@ TIMINGS: dict[str, float] = {}
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
-                 partition_by: list[str] | None = None) -> DataFrame:
+                 partition_by: list[str] | None = None, rebalance: bool = True) -> DataFrame:
     """Write ``build()`` once as Parquet and return a reader over it.
 
     One lock per stage: different stages are written concurrently, the same
-    stage only once.
+    stage only once. ``rebalance=False`` skips the shuffle before a
+    partitioned write when every input split already holds one partition
+    value (e.g. input read from a folder-per-country layout).
     """
     key = (app_id(spark), sf_dir.rstrip("/"), name)
     with _LOCK:
@@ -47,7 +49,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
             t0 = time.perf_counter()
             if partition_by:
                 # rebalance: bounded files per partition value, hot values split
-                writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+                source = df.hint("rebalance", *partition_by) if rebalance else df
+                writer = source.write.mode("overwrite").partitionBy(*partition_by)
             else:
                 writer = df.write.mode("overwrite")
             sc = _context(spark)
