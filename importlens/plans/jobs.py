@@ -216,5 +216,7 @@ def run(spark: SparkSession, trade_paths: Mapping[str, str], indicators_path: st
         county_paths: list[str], out_dir: str, one_layout: bool = False, **params) -> dict[str, str]:
     """Clean, write the stage, compute and publish the six tables."""
     landed = load_landed(spark, trade_paths, indicators_path, county_paths, one_layout=one_layout)
-    cleaned = write_clean(landed, out_dir)
+    # trade_paths maps each country to its own files, so every split holds one
+    # country and the partitioned write needs no rebalance shuffle
+    cleaned = write_clean(landed, out_dir, rebalance=False)
     return publish(result_tables(cleaned, **params), out_dir)
