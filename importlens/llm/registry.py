@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from importlens.llm import simhash_dedup
+from importlens.llm import decontaminate, simhash_dedup
 
 QUERIES = {
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_decontaminate": decontaminate.ORACLE,
+}
 
 
 def queries() -> dict:
