@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, simhash_dedup
+from importlens.llm import decontaminate, language_id, simhash_dedup
 
 QUERIES = {
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op10_language_id": language_id.op10_language_id,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
 }
 
