@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, language_id, simhash_dedup
+from importlens.llm import decontaminate, language_id, quality, simhash_dedup
 
 QUERIES = {
+    "op3_quality": quality.op3_quality,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op10_language_id": language_id.op10_language_id,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
