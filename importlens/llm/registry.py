@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, language_id, quality, simhash_dedup
+from importlens.llm import decontaminate, language_id, quality, sentencepiece_codec, simhash_dedup
 
 QUERIES = {
     "op3_quality": quality.op3_quality,
+    "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op10_language_id": language_id.op10_language_id,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op6_decontaminate": decontaminate.ORACLE,
 }
 
