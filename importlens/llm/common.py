@@ -30,6 +30,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A side of a join is broadcast up to so many rows of a few numbers (counted first).
+BROADCAST_ROWS = 500_000
+
+
+def counted_broadcast(side: DataFrame) -> DataFrame:
+    """``side``, a written table of narrow rows, hinted for broadcast if it has few rows; else as it is."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def arrow_pass(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``step`` to every Arrow batch of ``df``; rows stay in their partitions."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

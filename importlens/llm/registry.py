@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, language_id, quality, sentencepiece_codec, simhash_dedup
+from importlens.llm import decontaminate, language_id, line_dedup, quality, sentencepiece_codec, simhash_dedup
 
 QUERIES = {
     "op3_quality": quality.op3_quality,
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op10_language_id": language_id.op10_language_id,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
 }
 
