@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, language_id, line_dedup, quality, sentencepiece_codec, simhash_dedup
+from importlens.llm import decontaminate, language_id, license_scan, line_dedup, quality, sentencepiece_codec, simhash_dedup
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
     "op3_quality": quality.op3_quality,
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op6_decontaminate": decontaminate.op6_decontaminate,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
+    "op1_license_scan": license_scan.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
 }
 
