@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, language_id, license_scan, line_dedup, quality, sentencepiece_codec, simhash_dedup
+from importlens.llm import decontaminate, language_id, license_scan, line_dedup, quality, sentencepiece_codec, simhash_dedup, topk_search
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
+    "op2_topk_search": topk_search.op2_topk_search,
     "op3_quality": quality.op3_quality,
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op6_decontaminate": decontaminate.op6_decontaminate,
@@ -17,6 +18,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op1_license_scan": license_scan.ORACLE,
+    "op2_topk_search": topk_search.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
 }
 
