@@ -95,19 +95,20 @@ def features(counts: np.ndarray) -> np.ndarray:
     return np.sqrt(counts / counts.sum()).astype(np.float32)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 300) -> np.ndarray:
+def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 150) -> np.ndarray:
     """Weights (the bias last) of a squared-hinge linear machine, by accelerated gradient steps.
 
     The classes weigh the same whatever their row counts.
     """
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
+    y = y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     w = v = np.zeros(x.shape[1], dtype=np.float32)
-    t, rate = 1.0, 1 / (4 + penalty)
+    t, rate = 1.0, np.float32(1 / (4 + penalty))
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ v))
-        grad = penalty * v - 2 * x.T @ (weight * y * slack)
-        w, before = (v - rate * grad).astype(np.float32), w
+        slack = np.maximum(np.float32(0), 1 - y * (x @ v))
+        grad = np.float32(penalty) * v - 2 * ((weight * y * slack) @ x)
+        w, before = v - rate * grad, w
         t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         v = w + np.float32((last - 1) / t) * (w - before)
     return w
@@ -121,7 +122,10 @@ class Model:
         self.families = sorted(set(families))
         self.langs = {f: sorted(set(names[families == f])) for f in self.families}
         rows, self.first, self.pairs = [], 0, []
-        if len(self.families) > 1:
+        if len(self.families) == 2:    # one machine and its mirror image
+            one = linear_svm(x, np.where(families == self.families[0], 1, -1))
+            rows += [one, -one]
+        elif len(self.families) > 2:
             rows += [linear_svm(x, np.where(families == f, 1, -1)) for f in self.families]
         self.first = len(rows)
         for f in self.families:
