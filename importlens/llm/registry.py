@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, language_id, license_scan, line_dedup, quality, sentencepiece_codec, simhash_dedup, topk_search
+from importlens.llm import decontaminate, language_id, license_scan, line_dedup, quality, sentencepiece_codec, simhash_dedup, topk_search, warc_bundles
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_topk_search": topk_search.op2_topk_search,
     "op3_quality": quality.op3_quality,
+    "op4_warc": warc_bundles.op4_warc,
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op10_language_id": language_id.op10_language_id,
@@ -16,9 +17,11 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc": warc_bundles.op4_warc,
     "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op1_license_scan": license_scan.ORACLE,
     "op2_topk_search": topk_search.ORACLE,
+    "op4_warc": warc_bundles.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
 }
 
