@@ -7,8 +7,8 @@ One linear support vector machine per language family (against the rest) picks
 the family; inside it, a machine for each pair of its languages votes, ties go
 to the larger sum of margins and then to the smaller language value.
 
-Training uses a bounded sample (``TRAIN_ROWS``, shared evenly by the languages,
-rows of smallest hash of ``doc_id``) of the labelled rows outside the held-out
+Training uses a bounded sample (about ``TRAIN_ROWS``, shared evenly by the
+languages, the rows of smallest hash of ``doc_id``) of the labelled rows outside the held-out
 part; everything else sees every row and every character.
 
 ``score`` is the product of the family's and the language's confidence
@@ -26,10 +26,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from importlens.llm.common import arrow_pass, table, written
+from importlens.llm.common import arrow_pass, counted_broadcast, table, written
 
 BUCKETS, TRAIN_ROWS, CHUNK = 4096, 2000, 1 << 18
 FOLDS, HELD_OUT_FOLD, UNKNOWN = 4, 2, "und"
@@ -163,14 +163,12 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, learn_from: Column, rows: int = TRAIN_ROWS, buckets: int = BUCKETS) -> Model | None:
-    """Fit on at most ``rows`` rows of ``docs`` where ``learn_from`` and ``lang`` and ``doc_id`` are not null."""
+    """Fit on about ``rows`` rows (or all, if fewer) of ``docs`` where ``learn_from`` and ``lang`` and ``doc_id`` are not null."""
     labelled = docs.where(learn_from & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    ids = labelled.select("doc_id", F.col("lang").cast("string").alias("lang"))
-    langs = max(1, ids.select("lang").distinct().count())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # the limit applies before the shuffle, so a frequent language sends few rows
-    chosen = written(ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max(1, rows // langs))
-                     .select("doc_id").distinct(), "language-sample")
+    lang = F.col("lang").cast("string")
+    sizes = labelled.groupBy(lang.alias("__lang")).agg(F.count("*").alias("__n"))
+    sizes = written(sizes, "language-sizes")
+    langs = sizes.count()
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [(g, gram_counts(t, buckets)) for g, t in zip(batch["lang"].to_pylist(), batch["text"].to_pylist())]
@@ -178,10 +176,12 @@ def train(docs: DataFrame, learn_from: Column, rows: int = TRAIN_ROWS, buckets:
         return pa.RecordBatch.from_arrays([pa.array([g for g, _ in found], pa.string()),
                                            pa.array([x for _, x in found], pa.binary())], ["lang", "x"])
 
-    # at most ``rows`` ids: a fixed bound
-    sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")
-    got = sorted((r.lang, bytes(r.x)) for r in arrow_pass(sample, step, "lang string, x binary").limit(2 * rows).collect())
+    # each language's share of the rows, by the hash of the id
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
+    sample = labelled.join(counted_broadcast(sizes), lang == F.col("__lang"))
+    sample = sample.where(hashed * F.col("__n") * langs < rows).select(
+        lang.alias("lang"), F.col("text").cast("string").alias("text"))
+    got = sorted((r.lang, bytes(r.x)) for r in arrow_pass(sample, step, "lang string, x binary").collect())
     if not got:
         return None
     return Model(np.array([np.frombuffer(x, dtype=np.float32) for _, x in got]), [g for g, _ in got])

@@ -6,7 +6,7 @@ level by level from histograms of gradients and hessians (logistic loss). The
 trees are flattened into arrays (feature, bin, left child, value), and a batch
 of rows walks all trees at once by array indexing.
 
-Training uses a bounded sample (``TRAIN_ROWS`` ids of smallest hash) of the
+Training uses a bounded sample (about ``TRAIN_ROWS`` ids of smallest hash) of the
 labelled documents outside the held-out part. Several labels of one id count by
 their mean, at least one half meaning 1; null labels are ignored.
 
@@ -141,11 +141,13 @@ class Trees:
 
 
 def train(stats: DataFrame, labels: DataFrame, learn_from: Column, rows: int = TRAIN_ROWS) -> Trees | None:
-    """Fit on at most ``rows`` labelled ids where ``learn_from`` holds."""
+    """Fit on about ``rows`` labelled ids (or all, if fewer) where ``learn_from`` holds."""
     marks = labels.where(learn_from & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-    marks = marks.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
+    marks = written(marks.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y")), "quality-labels")
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
+    marks = marks.where(hashed * marks.count() < rows)
     found = stats.join(marks, "doc_id").groupBy("doc_id", "y").agg(F.min("stats").alias("stats"))
-    got = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    got = sorted(found.collect(), key=lambda r: r.doc_id)
     if not got:
         return None
     return Trees(_matrix([r.stats for r in got]), np.array([r.y for r in got], dtype=np.float64))
