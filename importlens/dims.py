@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from importlens import config, schemas
+from importlens.sources.files import read_csv_typed
 
 
 def _lit(v) -> str:
@@ -38,16 +39,6 @@ def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(names)})")
 
 
-def countries(spark: SparkSession) -> DataFrame:
-    rows = [(k, v["iso3"], v["comtrade_code"]) for k, v in config.COUNTRIES.items()]
-    return local_table(spark, rows, "country_key string, iso3 string, comtrade_code string")
-
-
-def year_plan(spark: SparkSession) -> DataFrame:
-    rows = [(role, y) for role, ys in config.YEARS.items() for y in ys]
-    return local_table(spark, rows, "role string, year int")
-
-
 def indicators(spark: SparkSession, mapping: dict[str, str] | None = None) -> DataFrame:
     rows = list((mapping or config.INDICATORS).items())
     return local_table(spark, rows, "indicator_code string, indicator_name string")
@@ -67,7 +58,11 @@ def hs2_labels(spark: SparkSession) -> DataFrame:
     return local_table(spark, list(config.HS2_LABELS.items()), "hs2 string, label string")
 
 
-def event_calendar(spark: SparkSession) -> DataFrame:
+def event_calendar(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The event calendar: read from a header CSV when ``path`` is given, else the configured one."""
+    if path is not None:
+        return read_csv_typed(spark, path, schemas.EVENT_CALENDAR)
+
     def d(s: str) -> _dt.date:
         return _dt.date.fromisoformat(s)
 

@@ -2,7 +2,6 @@
 ``pyspark.sql.functions`` so it stays inside whole-stage codegen."""
 
 from importlens.functions.columns import (  # noqa: F401
-    as_double,
     commodity_label_key,
     decimals_to_double,
     lenient_number,

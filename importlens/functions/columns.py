@@ -89,10 +89,6 @@ def pct_change(value: str | Column, previous: str | Column) -> Column:
     return F.try_multiply(F.try_divide(v - p, p), F.lit(100.0))
 
 
-def as_double(c: str | Column) -> Column:
-    return _col(c).cast("double")
-
-
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Cast every decimal column to double (the published measure type)."""
     if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
@@ -102,22 +98,3 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
         else F.col(f.name)
         for f in df.schema.fields
     ])
-
-
-def fixed_point_sum(c: str | Column, scale: int = 6) -> Column:
-    """Sum doubles in fixed point (``decimal(38, scale)``), returned as double.
-
-    Unlike a double sum, the result does not depend on how rows are
-    partitioned or ordered; each value is rounded to ``scale`` decimals
-    first. Use on small, already-aggregated tables (the decimal buffer is
-    slower than a double one).
-    """
-    return F.sum(_col(c).try_cast(f"decimal(38,{scale})")).cast("double")
-
-
-def sum_keeping_type(df: DataFrame, name: str) -> Column:
-    """Exact sum for decimal columns, fixed-point sum for floating ones."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, DecimalType):
-        return F.sum(name)
-    return fixed_point_sum(name)

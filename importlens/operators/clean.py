@@ -21,8 +21,6 @@ from importlens.operators.harmonize import (
     harmonize_trade, normalize_headers, resolve_roles, union_all_by_name,
 )
 
-TRADE_CLEAN_COLUMNS = ["country_iso3", "commodity_code", "commodity_desc", "trade_value", "month_date"]
-
 
 def clean_trade_frame(df: DataFrame, iso3: str | None = None,
                       measure_type: str = "double") -> DataFrame:
@@ -30,7 +28,7 @@ def clean_trade_frame(df: DataFrame, iso3: str | None = None,
     h = harmonize_trade(df, iso3)
     missing = [c for c in ("commodity_code", "trade_value", "period") if c not in h.columns]
     if missing:
-        raise ValueError(f"Missing columns: {missing}. Available columns: {df.columns}")
+        raise ValueError(f"a trade export needs {', '.join(missing)}; its header has {', '.join(df.columns)}")
     return h.select(
         F.col("country_iso3").cast("string").alias("country_iso3"),
         F.col("commodity_code").cast("string").alias("commodity_code"),

@@ -72,10 +72,17 @@ def target_factors(indicators: DataFrame, targets: list[str],
     return factors_from(factor_stats(indicators, targets, gdp_name), targets)
 
 
-def target_factor(indicators: DataFrame, target: str,
-                  gdp_name: str = config.GDP_INDICATOR) -> Column:
-    """Scalar GDP factor of one target; NULL when the target has no GDP."""
-    return target_factors(indicators, [target], gdp_name).getItem(0).getField("gdp_factor")
+def scaled_totals(totals: DataFrame, indicators: DataFrame, county: DataFrame,
+                  target: str = config.TARGET_ISO3[0], gdp_name: str = config.GDP_INDICATOR) -> DataFrame:
+    """Predicted demand and score of summed baseline demand (``qatar_demand``).
+
+    The factor and the capacity are constants of the target, so the prediction
+    of a sum is the sum of the predictions; exact demand sums stay exact until
+    the one multiplication, whatever the order of the rows.
+    """
+    factor = target_factors(indicators, [target], gdp_name).getItem(0).getField("gdp_factor")
+    predicted = totals.withColumn("predicted_demand", F.col("qatar_demand").cast("double") * factor)
+    return opportunity_score(predicted, county)
 
 
 def predicted_demand(trade: DataFrame, indicators: DataFrame,

@@ -5,27 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_DEFAULT_LIMIT = 10 * 1024 * 1024
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer's size estimate of ``df`` (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (no job is run); None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 -- estimates are advisory
-        return None
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes; negative when broadcasts are switched off."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)) \
+        if not text.startswith("-") else -1
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only when its estimated size is under the limit.
 
-    The limit defaults to the session's broadcast threshold (10 MB if unset
-    or disabled). Above it the join stays a shuffle join, which adaptive
-    execution may still turn into a broadcast from measured sizes.
+    The limit defaults to the session's broadcast threshold (with its unit; a
+    negative one switches the hint off). Above it the join stays a shuffle
+    join, which adaptive execution may still turn into a broadcast from
+    measured sizes.
     """
-    if limit_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_LIMIT))
-        digits = "".join(ch for ch in str(conf) if ch.isdigit() or ch == "-")
-        limit_bytes = int(digits) if digits and int(digits) > 0 else _DEFAULT_LIMIT
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit_bytes else df
+    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
+    return F.broadcast(df) if 0 <= estimated_bytes(df) <= limit else df

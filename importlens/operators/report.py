@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from importlens import dims
 from importlens.dims import local_table
 from importlens.operators.joins import broadcast_if_small
-from importlens.functions.columns import (
-    commodity_label_key, fixed_point_sum, mean, pct_change, sum_keeping_type,
-)
+from importlens.functions.columns import commodity_label_key, mean, pct_change
 
 
 # ---------------------------------------------------------------- labels ----
@@ -77,11 +75,10 @@ def totals_by_label(labelled: DataFrame, measures: list[str],
                     label_col: str = "commodity_label") -> DataFrame:
     """Sum each measure per label (codes sharing a chapter are merged).
 
-    Decimal measures sum exactly; double measures sum in fixed point so the
-    totals do not depend on row order.
+    Plain sums: exact for decimal measures, and for doubles over their whole
+    range (their last digits may depend on the order of the rows).
     """
-    return labelled.groupBy(label_col).agg(
-        *[sum_keeping_type(labelled, m).alias(m) for m in measures])
+    return labelled.groupBy(label_col).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def share_of_total(df: DataFrame, measure: str, share_col: str = "share") -> DataFrame:
@@ -131,20 +128,26 @@ def kpi_trend(trend: DataFrame, value_col: str = "monthly_import_value") -> Data
                      F.max(v).alias("peak_monthly_import"))
 
 
+def _key_of_largest(key: str, measure: str) -> Column:
+    """Key of the largest non-null measure; of equal ones the smallest key."""
+    ranked = F.when(F.col(measure).isNotNull(), F.struct((-F.col(measure)).alias("m"), F.col(key).alias("k")))
+    return F.min(ranked).getField("k")
+
+
 def kpi_hosts(hosts: DataFrame) -> DataFrame:
     """Countries compared, the one with the highest imports, combined imports."""
     return hosts.agg(
         F.count_distinct("country_iso3").alias("countries_compared"),
-        F.max_by("country_iso3", "total_import_value").alias("highest_import_country"),
+        _key_of_largest("country_iso3", "total_import_value").alias("highest_import_country"),
         F.sum("total_import_value").alias("total_import_value"))
 
 
 def kpi_predictions(predictions: DataFrame, by_label: DataFrame,
                     label_col: str = "commodity_label") -> DataFrame:
     """Total predicted demand (all codes), top label by score, max label score."""
-    total = predictions.agg(fixed_point_sum("predicted_demand")).scalar()
+    total = predictions.agg(F.sum("predicted_demand")).scalar()
     return by_label.agg(
-        F.max_by(label_col, "opportunity_score").alias("highest_opportunity"),
+        _key_of_largest(label_col, "opportunity_score").alias("highest_opportunity"),
         F.max("opportunity_score").alias("max_opportunity_score"),
     ).select(total.alias("total_predicted_demand"), "highest_opportunity",
              "max_opportunity_score")
@@ -179,4 +182,16 @@ def option_lists(options: dict[str, DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("option_kind", "option_value")
+
+
+# ----------------------------------------------------------- presentation ---
+
+def with_position(df: DataFrame, order: list[str | Column], by: list[str] | None = None,
+                  name: str = "position") -> DataFrame:
+    """Presentation order as a column, counted from 1 (in each ``by`` group).
+
+    For aggregated tables (one row per code, month or country); the order must
+    name enough columns to be unique.
+    """
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*(by or [])).orderBy(*order)))

@@ -121,8 +121,10 @@ scored AS (
 
 SQL_BY_LABEL = f"""by_label AS (
   SELECT commodity_label,
-         CAST(SUM(CAST(opportunity_score AS DECIMAL(38,6))) AS DOUBLE) AS opportunity_score,
-         CAST(SUM(CAST(predicted_demand AS DECIMAL(38,6))) AS DOUBLE) AS predicted_demand,
+         CAST(SUM(qatar_demand) AS DOUBLE) * (SELECT gdp_factor FROM factors WHERE country_iso3 = {T})
+           / ((SELECT avg_employment FROM cap) + 1.0) AS opportunity_score,
+         CAST(SUM(qatar_demand) AS DOUBLE) * (SELECT gdp_factor FROM factors WHERE country_iso3 = {T})
+           AS predicted_demand,
          SUM(qatar_demand) AS qatar_demand
   FROM {sql_label("scored")} l GROUP BY 1)"""
 
@@ -569,9 +571,15 @@ def q_topk_share(spark, sf):
     return report.share_of_total(_top_labels(spark, sf), "total_import_value")
 
 
+def _scaled(spark, sf, totals):
+    return forecast.scaled_totals(totals, inputs.indicators(spark, sf), inputs.county(spark, sf), fx.TARGET, fx.GDP)
+
+
 def _by_label(spark, sf):
     labelled = report.with_commodity_label(_pred(spark, sf))
-    return report.totals_by_label(labelled, ["opportunity_score", "predicted_demand", "qatar_demand"])
+    totals = report.totals_by_label(labelled, ["qatar_demand"])
+    return _scaled(spark, sf, totals).select(
+        "commodity_label", "opportunity_score", "predicted_demand", "qatar_demand")
 
 
 @query("predictions_by_label", with_views("""
@@ -622,7 +630,7 @@ def q_kpi_trend(spark, sf):
 
 @query("kpi_hosts", with_views(f"""
 SELECT COUNT(DISTINCT country_iso3) AS countries_compared,
-       arg_max(country_iso3, total_import_value) AS highest_import_country,
+       arg_min(country_iso3, row(-total_import_value, country_iso3)) AS highest_import_country,
        CAST(SUM(total_import_value) AS DOUBLE) AS total_import_value
 FROM host WHERE country_iso3 IN ({_in(fx.HOSTS_SELECTED)})""",
                                "trade", "indicators", extra=[SQL_SUMMARY, SQL_HOST]))
@@ -631,18 +639,16 @@ def q_kpi_hosts(spark, sf):
     return report.kpi_hosts(report.select_countries(_host(spark, sf), fx.HOSTS_SELECTED))
 
 
-@query("kpi_predictions", with_views("""
-SELECT (SELECT CAST(SUM(CAST(predicted_demand AS DECIMAL(38,6))) AS DOUBLE) FROM scored)
-         AS total_predicted_demand,
-       arg_max(commodity_label, opportunity_score) AS highest_opportunity,
+@query("kpi_predictions", with_views(f"""
+SELECT (SELECT CAST(SUM(qatar_demand) AS DOUBLE) FROM scored)
+         * (SELECT gdp_factor FROM factors WHERE country_iso3 = {T}) AS total_predicted_demand,
+       arg_min(commodity_label, row(-opportunity_score, commodity_label)) AS highest_opportunity,
        MAX(opportunity_score) AS max_opportunity_score
 FROM by_label""", *_FC_VIEWS, "hs2", extra=[SQL_FORECAST, SQL_BY_LABEL]))
 def q_kpi_predictions(spark, sf):
     """Total predicted demand, best label, its score."""
-    scored = _pred(spark, sf)
-    by_label = report.totals_by_label(report.with_commodity_label(scored),
-                                      ["opportunity_score", "predicted_demand", "qatar_demand"])
-    return report.kpi_predictions(scored, by_label)
+    total = _scaled(spark, sf, _pred(spark, sf).agg(F.sum("qatar_demand").alias("qatar_demand")))
+    return report.kpi_predictions(total, _by_label(spark, sf))
 
 
 _H20, _H30 = sql_hist("scored", 20), sql_hist("by_label", 30)

@@ -5,9 +5,11 @@
 * ``write_clean``     writes the three cleaned tables as Parquet (trade
                       partitioned by country) and returns readers over them;
 * ``result_tables``   the six published tables, ordered for presentation;
-* ``publish``         writes them (Parquet folder and one CSV file each, or a
-                      database table through JDBC);
-* ``data_check``      row counts, distinct codes and sample rows.
+* ``publish``         writes them (each evaluated once: Parquet, then CSV from
+                      that copy; or a database table through JDBC);
+* ``export_all``      writes an existing published set as CSV;
+* ``data_check``      row counts, distinct codes, sample rows, and the planned
+                      months and indicator cells that did not land.
 
 Every step is a Spark write or a lazy plan; nothing is collected.
 """
@@ -20,12 +22,14 @@ from typing import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from importlens import config, dims
-from importlens.operators import forecast, measures, report
+from importlens import config, dims, schemas
+from importlens.operators import coverage, forecast, measures, report
 from importlens.operators.clean import clean_county, clean_indicators, clean_trade, extract_county
 from importlens.operators.harmonize import union_all_by_name
-from importlens.sinks.files import write_jdbc, write_parquet, write_single_csv
+from importlens.plans.stages import build_concurrently
+from importlens.sinks.files import write_csv, write_jdbc, write_parquet, write_single_csv
 from importlens.sources.files import read_csv_strings, read_tagged
+from importlens.sources.indicators import flatten_indicator_payloads
 
 RESULT_TABLES = [
     "commodity_surges_qatar",
@@ -37,6 +41,16 @@ RESULT_TABLES = [
 ]
 
 
+#: Presentation order of the published tables (equal measures by key).
+ORDER = {
+    "commodity_surges_qatar": [F.desc("total_import_value"), "commodity_code", "commodity_desc"],
+    "qatar_monthly_import_trend": ["year", "month"],
+    "import_by_country_year": ["country_iso3", "year"],
+    "host_country_comparison": ["country_iso3", "country_name"],
+    "predicted_stocking_opportunities": [F.desc("opportunity_score"), "commodity_code"],
+}
+
+
 @dataclass
 class Cleaned:
     trade: DataFrame
@@ -46,8 +60,14 @@ class Cleaned:
 
 def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_path: str | list[str],
                 county_paths: list[str], measure_type: str = "double",
-                one_layout: bool = False) -> Cleaned:
-    """Read and clean the landed files (lazy; nothing runs yet).
+                one_layout: bool = False, indicators_json: bool = False,
+                years: list[int] | None = None) -> Cleaned:
+    """Read and clean the landed files (only their headers are read yet).
+
+    ``indicators_json``: the indicators landed as JSON lines with the request's
+    ``country_iso3`` and ``indicator_code`` and the response text ``payload``
+    (items outside ``years`` are dropped); otherwise as CSV rows.
+
 
     By default each country's export is read on its own, so each may have
     its own header layout. With ``one_layout`` (all exports share a header)
@@ -60,7 +80,12 @@ def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_
     else:
         trade = clean_trade({iso: read_csv_strings(spark, p) for iso, p in trade_paths.items()},
                             measure_type)
-    indicators = clean_indicators(read_csv_strings(spark, indicators_path), measure_type)
+    if indicators_json:
+        landed = spark.read.schema(schemas.INDICATOR_PAYLOADS).json(indicators_path)
+        rows = flatten_indicator_payloads(landed, dims.indicators(spark), years or config.YEARS["indicators"])
+    else:
+        rows = read_csv_strings(spark, indicators_path)
+    indicators = clean_indicators(rows, measure_type)
     hosts, sectors = dims.host_counties(spark), dims.naics_sectors(spark)
     county = clean_county(union_all_by_name(
         [extract_county(read_csv_strings(spark, p), hosts, sectors, measure_type) for p in county_paths]),
@@ -68,16 +93,15 @@ def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_
     return Cleaned(trade, indicators, county)
 
 
-def write_clean(cleaned: Cleaned, out_dir: str, rebalance: bool = True) -> Cleaned:
+def write_clean(cleaned: Cleaned, out_dir: str) -> Cleaned:
     """Write the cleaned tables (the stage boundary) and read them back.
 
-    ``rebalance`` shuffles the trade rows by country before the partitioned
-    write (bounded files per country, a large country split over many
-    tasks). It is needed when landed files mix countries; when each landed
-    file holds one country it can be turned off to save the shuffle.
+    The trade rows are dealt by country before the partitioned write (bounded
+    files per country, a large country split over many tasks): a file may hold
+    rows of several countries, and a read split may hold several files.
     """
     spark = cleaned.trade.sparkSession
-    trade = cleaned.trade.hint("rebalance", "country_iso3") if rebalance else cleaned.trade
+    trade = cleaned.trade.hint("rebalance", "country_iso3")
     paths = {
         "comtrade_clean": (trade, ["country_iso3"]),
         "worldbank_clean": (cleaned.indicators, None),
@@ -106,26 +130,43 @@ def result_tables(c: Cleaned, baseline: str = config.BASELINE_ISO3, target: str
     }
     if not sort:
         return tables
-    order = {
-        "commodity_surges_qatar": [F.col("total_import_value").desc()],
-        "qatar_monthly_import_trend": ["year", "month"],
-        "import_by_country_year": ["country_iso3", "year"],
-        "host_country_comparison": ["country_iso3"],
-        "predicted_stocking_opportunities": [F.col("opportunity_score").desc()],
-    }
-    return {name: df.orderBy(*order[name]) if name in order else df for name, df in tables.items()}
+    return {name: df.orderBy(*ORDER[name]) if name in ORDER else df for name, df in tables.items()}
+
+
+#: Published tables that are no aggregates: their CSV keeps one file per task.
+UNBOUNDED = {"worldbank_indicator_trends"}
 
 
 def publish(tables: Mapping[str, DataFrame], out_dir: str, csv: bool = True) -> dict[str, str]:
-    """Write each result table as Parquet, plus one header CSV file when ``csv``."""
-    out = {}
-    for name, df in tables.items():
+    """Write each result table as Parquet, plus header CSV from that copy when ``csv``.
+
+    Every table is evaluated once; independent tables are written side by side.
+    """
+    def write(name: str, df: DataFrame) -> str:
         base = f"{out_dir.rstrip('/')}/results/{name}"
         write_parquet(df, base + "/parquet")
         if csv:
-            write_single_csv(df, base + "/csv")
-        out[name] = base
-    return out
+            _export(df.sparkSession.read.parquet(base + "/parquet"), name, base + "/csv")
+        return base
+
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    return build_concurrently(spark, {n: (lambda n=n, df=df: write(n, df)) for n, df in tables.items()})
+
+
+def _export(df: DataFrame, name: str, path: str) -> str:
+    """CSV of a published table: one file, in the published order, for aggregates."""
+    if name in UNBOUNDED:
+        return write_csv(df, path)
+    order = ORDER.get(name)
+    return write_single_csv(df.orderBy(*order) if order else df, path)
+
+
+def export_all(spark: SparkSession, published_dir: str, export_dir: str) -> dict[str, str]:
+    """Export every table published under ``published_dir`` as header CSV, without computing it again."""
+    tables = read_published(spark, published_dir)
+    return {name: _export(df, name, f"{export_dir.rstrip('/')}/{name}") for name, df in tables.items()}
 
 
 def publish_jdbc(tables: Mapping[str, DataFrame], url: str, properties: dict | None = None) -> list[str]:
@@ -135,9 +176,19 @@ def publish_jdbc(tables: Mapping[str, DataFrame], url: str, properties: dict | N
     return list(tables)
 
 
-def data_check(c: Cleaned, sample: int = 5) -> dict[str, DataFrame]:
-    """Row counts (and non-roll-up trade rows), distinct codes, sample rows."""
+def data_check(c: Cleaned, sample: int = 5, pull_plan: dict[str, list[int]] | None = None) -> dict[str, DataFrame]:
+    """Row counts (and non-roll-up trade rows), distinct codes, sample rows, and coverage.
+
+    ``period_coverage`` has a row for each planned country and month (the
+    configured pull plan by default), ``indicator_coverage`` one for each
+    planned country, indicator and year; ``missing`` marks what did not land.
+    """
+    plan = pull_plan or config.trade_pull_plan()
+    months = c.trade.select("country_iso3", F.date_format("month_date", "yyyyMM").alias("period"))
     return {
+        "period_coverage": coverage.period_coverage(months, plan),
+        "indicator_coverage": coverage.indicator_coverage(
+            c.indicators, sorted(plan), config.INDICATOR_NAMES, config.YEARS["indicators"]),
         "counts": report.row_profile(
             {"comtrade_clean": c.trade, "worldbank_clean": c.indicators, "cbp_clean": c.county},
             kept={"comtrade_clean": F.col("commodity_code") != F.lit(config.ROLLUP_CODE)}),
@@ -203,20 +254,20 @@ def read_published(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 
 
 def write_dashboards(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write each dashboard data set as one Parquet folder (all are small)."""
-    out = {}
-    for name, df in tables.items():
-        path = f"{out_dir.rstrip('/')}/dashboards/{name}"
-        write_parquet(df.coalesce(1), path)
-        out[name] = path
-    return out
+    """Write each dashboard data set as one Parquet folder."""
+    return {name: _write_dashboard(df, f"{out_dir.rstrip('/')}/dashboards/{name}") for name, df in tables.items()}
+
+
+def _write_dashboard(df: DataFrame, path: str) -> str:
+    write_parquet(df, path)
+    return path
 
 
 def run(spark: SparkSession, trade_paths: Mapping[str, str], indicators_path: str | list[str],
-        county_paths: list[str], out_dir: str, one_layout: bool = False, **params) -> dict[str, str]:
+        county_paths: list[str], out_dir: str, one_layout: bool = False, indicators_json: bool = False,
+        **params) -> dict[str, str]:
     """Clean, write the stage, compute and publish the six tables."""
-    landed = load_landed(spark, trade_paths, indicators_path, county_paths, one_layout=one_layout)
-    # trade_paths maps each country to its own files, so every split holds one
-    # country and the partitioned write needs no rebalance shuffle
-    cleaned = write_clean(landed, out_dir, rebalance=False)
+    landed = load_landed(spark, trade_paths, indicators_path, county_paths, one_layout=one_layout,
+                         indicators_json=indicators_json)
+    cleaned = write_clean(landed, out_dir)
     return publish(result_tables(cleaned, **params), out_dir)

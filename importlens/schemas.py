@@ -2,49 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (
-    DateType, DoubleType, IntegerType, StringType, StructField, StructType,
-)
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 
 def strings(*names: str) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-# Raw trade export as landed: every column text, codes keep leading zeros.
-TRADE_RAW = strings("country_iso3", "cmdCode", "cmdDesc", "primaryValue", "period")
-
-# Cleaned trade fact.
-TRADE_CLEAN = StructType([
-    StructField("country_iso3", StringType(), True),
-    StructField("commodity_code", StringType(), True),
-    StructField("commodity_desc", StringType(), True),
-    StructField("trade_value", DoubleType(), False),
-    StructField("month_date", DateType(), False),
-])
-
-# Landed macro indicators (one row per country, indicator, year).
-INDICATOR_RAW = StructType([
-    StructField("country_iso3", StringType(), True),
-    StructField("country_name", StringType(), True),
-    StructField("year", IntegerType(), True),
-    StructField("indicator_code", StringType(), True),
-    StructField("indicator_name", StringType(), True),
-    StructField("value", DoubleType(), True),
-])
-
-# Filtered county statistics as written by the county extract.
-COUNTY_FILTERED = StructType([
-    StructField("city", StringType(), True),
-    StructField("state_abbr", StringType(), True),
-    StructField("state_county_fips", StringType(), True),
-    StructField("naics_code", StringType(), True),
-    StructField("naics_prefix", StringType(), True),
-    StructField("industry_group", StringType(), True),
-    StructField("ESTAB", DoubleType(), True),
-    StructField("EMP", DoubleType(), True),
-    StructField("PAYANN", DoubleType(), True),
-])
+# Landed JSON responses, one per line with its request keys.
+INDICATOR_PAYLOADS = strings("country_iso3", "indicator_code", "payload")
 
 EVENT_CALENDAR = StructType([
     StructField("event_name", StringType(), True),

@@ -1,15 +1,15 @@
 """Session construction and the shared working folder.
 
 Library code never builds its own session; it receives one. ``build_session``
-is for tests, the bench and the command line. ``work_dir`` returns a folder
-under ``spark.checkpoint.dir`` (the shared folder the cluster names). Only a
-``local[...]`` session without that setting (tests) gets a scratch folder; on
-a cluster an unset setting is an error, never a machine-local path.
+is for tests, the bench and the command line; it pins neither the master nor
+the number of shuffle partitions unless asked to, so ``spark-submit`` settings
+hold. ``work_dir`` returns a folder under ``spark.checkpoint.dir`` (the shared
+folder the cluster names); an unset setting is an error, never a machine-local
+path. Tests, the bench and local runs name their own folder.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,12 +17,11 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "importlens", extra: dict | None = None) -> SparkSession:
     builder = (
-        SparkSession.builder.master(master).appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -36,6 +35,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.retainedStages", "200")
         .config("spark.sql.ui.retainedExecutions", "50")
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -59,19 +62,15 @@ def app_id(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if unset."""
+    """Return the session's checkpoint folder; raise if it is unset."""
     sc = _context(spark)
     current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError(
-                f"{_CHECKPOINT_KEY} is not set: on a cluster it must name a shared folder "
-                "(stages, exports and stream checkpoints are written there)")
-        current = tempfile.mkdtemp(prefix="importlens-ckpt-")   # local runs and tests only
-        spark.conf.set(_CHECKPOINT_KEY, current)
+        raise ValueError(
+            f"{_CHECKPOINT_KEY} is not set: it must name a shared folder "
+            "(stages, exports and stream checkpoints are written there)")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")

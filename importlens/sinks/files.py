@@ -6,14 +6,17 @@ re-runs its tasks and a failed job leaves the previous output in place.
 
 from __future__ import annotations
 
-from typing import Callable, Mapping
-
 from pyspark.sql import DataFrame
 
 
+def _csv(df: DataFrame, mode: str):
+    # a quote inside a quoted cell is doubled (RFC 4180)
+    return df.write.mode(mode).option("header", True).option("escape", '"')
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV folder (one file per task)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    _csv(df, mode).csv(path)
     return path
 
 
@@ -21,9 +24,9 @@ def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One header CSV file for a *result* table (bounded by construction).
 
     ``coalesce(1)`` funnels the rows through one task, so this is only for
-    the small published tables, never for the trade fact.
+    aggregated tables read back from their written copy.
     """
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    _csv(df.coalesce(1), mode).csv(path)
     return path
 
 
@@ -41,12 +44,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
     df.write.jdbc(url=url, table=table, mode=mode, properties=props)
-
-
-def publish(tables: Mapping[str, DataFrame], sink: Callable[[DataFrame, str], object]) -> list[str]:
-    """Write every ``name -> DataFrame`` with ``sink(df, name)``; returns the names."""
-    done = []
-    for name, df in tables.items():
-        sink(df, name)
-        done.append(name)
-    return done

@@ -1,81 +1,164 @@
 """File and database readers.
 
 Schemas are declared, never inferred (inference costs a pass over the data
-and turns codes such as ``'06037'`` into numbers). ``infer=True`` is kept
-for ad-hoc profiling only.
+and turns codes such as ``'06037'`` into numbers).
+
+CSV columns are bound by **name**: the header line of every file is looked up
+(one line per file, on the driver), files of equal header are read together
+against that header, and the groups are unioned by name, so a folder may hold
+files with reordered, missing or further columns. Quoting follows RFC 4180
+(a quote inside a quoted cell is doubled). Cells with line breaks need
+``multi_line=True``, which makes a file one task.
 """
 
 from __future__ import annotations
 
-import os
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from importlens.schemas import strings
 
 
-def read_csv_strings(spark: SparkSession, paths: str | list[str],
-                     columns: Iterable[str] | None = None) -> DataFrame:
-    """Header CSV with every column as text.
+def _paths(paths: str | list[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Fully qualified data files at ``path`` (file, folder with subfolders, or glob), on its own file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    found = []
+    for status in fs.globStatus(target) or []:
+        walk = fs.listFiles(status.getPath(), True)
+        while walk.hasNext():
+            leaf = walk.next().getPath()
+            inner = leaf.toString()[len(status.getPath().toString()):]
+            # as Spark's own readers: names that start with "_" or "." are no data
+            if not any(part.startswith(("_", ".")) for part in inner.split("/") if part and "=" not in part):
+                found.append(leaf.toString())
+    if not found:
+        raise FileNotFoundError(f"no data files at {path}")
+    return found
+
+
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...] | None:
+    """Column names in the first line of a CSV file (None for an empty file)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    if line is None:
+        return None
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+
+
+def by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: header_of(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    return groups
+
+
+def _read(spark: SparkSession, header: tuple[str, ...], files: list[str], types: dict, multi_line: bool) -> DataFrame:
+    schema = StructType([StructField(c, types.get(c, StringType()), True) for c in header])
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+            .option("multiLine", multi_line).schema(schema).csv(files))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _by_name(spark: SparkSession, paths: str | list[str], columns: StructType | None, multi_line: bool) -> DataFrame:
+    files = [f for p in _paths(paths) for f in list_files(spark, p)]
+    types = {f.name: f.dataType for f in columns.fields} if columns is not None else {}
+    groups = by_header(spark, files)
+    frames = [_read(spark, h, fs, types, multi_line) for h, fs in groups.items()]
+    if not frames:
+        return spark.createDataFrame([], columns or StructType([]))
+    out = _union(frames)
+    if columns is None:
+        return out
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in columns.fields if f.name not in out.columns}
+    return out.withColumns(missing).select(*[f.name for f in columns.fields])
 
-    With ``columns`` the schema is declared up front; without, only the
-    header line is read to learn the names (no type inference pass).
-    """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if columns is not None:
-        return reader.schema(strings(*columns)).csv(paths)
-    return reader.option("inferSchema", False).csv(paths)
 
+def read_csv_strings(spark: SparkSession, paths: str | list[str],
+                     columns: Iterable[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Header CSV with every column as text, bound by name.
 
-def read_csv_typed(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
-    """Header CSV read against a declared schema; unparsable cells become NULL."""
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .schema(schema).csv(paths))
+    ``columns`` selects (a column that no file has is NULL); without it the
+    result has every column of any file.
+    """
+    return _by_name(spark, paths, strings(*columns) if columns is not None else None, multi_line)
 
 
-def read_csv_inferred(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Header CSV with inferred types (profiling only: costs an extra pass)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(paths)
+def read_csv_typed(spark: SparkSession, paths: str | list[str], schema: StructType | str,
+                   multi_line: bool = False) -> DataFrame:
+    """Header CSV read against a declared schema, bound by name; unparsable cells become NULL."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return _by_name(spark, paths, declared, multi_line)
 
 
 def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType | None = None,
                 tag: str = "country_iso3") -> DataFrame:
-    """Read several folders in one scan and tag each row with its folder's key.
-
-    ``paths`` maps a key (e.g. ISO3) to a folder or a file; the tag is
-    recovered from the file path of each row, so one multi-path read
-    replaces a loop of per-key reads and unions. When the paths are folders
-    with distinct last components (the usual one-folder-per-key layout) the
-    tag is a single map lookup on the row's parent folder; otherwise each
-    folder is matched as a path prefix and each file by its full path.
+    """Read several folders, files or globs and tag each row with its path's key.
+
+    ``paths`` maps a key (e.g. ISO3) to a path of any scheme. Files of equal
+    header are read in one scan; the tag is found from the row's decoded, fully
+    qualified file path. A row whose file belongs to no key raises an error.
     """
-    keys = list(paths.items())
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-    df = reader.csv([p for _, p in keys])
-    file_path = F.col("_metadata.file_path")
-    leaves = [folder.rstrip("/").rsplit("/", 1)[-1] for _, folder in keys]
-    folders = all(os.path.isdir(p) for _, p in keys if "://" not in p and not p.startswith("file:"))
-    if folders and len(set(leaves)) == len(leaves):
-        lookup = F.create_map(*[F.lit(x) for leaf, (key, _) in zip(leaves, keys) for x in (leaf, key)])
-        # parent folder name: two substring_index calls, no regular expression per row
-        parent = F.substring_index(F.substring_index(file_path, "/", -2), "/", 1)
-        return df.withColumn(tag, F.element_at(lookup, parent))
-    tag_col = F.lit(None).cast("string")
-    for key, target in reversed(keys):
-        tail = _path_tail(target.rstrip("/"))
-        # a folder matches as a path prefix, a single file by its full path
-        hit = (F.locate(tail + "/", file_path) > 0) | file_path.endswith(tail)
-        tag_col = F.when(hit, F.lit(key)).otherwise(tag_col)
-    return df.withColumn(tag, tag_col)
-
-
-def _path_tail(prefix: str) -> str:
-    # file paths come back as URIs (file:/..., s3a://...): match on the path part
-    return prefix.split(":", 1)[-1].lstrip("/")
+    owner: dict[str, str] = {}
+    for key, path in paths.items():
+        for file in list_files(spark, path):
+            if owner.setdefault(file, key) != key:
+                raise ValueError(f"{file} belongs to {owner[file]} and to {key}")
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    own = {f.name for f in schema.fields} if schema is not None else None
+    frames = []
+    for header, files in by_header(spark, list(owner)).items():
+        df = _read(spark, header, files, types, False).withColumn(tag, _tag_of({f: owner[f] for f in files}))
+        if own is not None:
+            absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in header and f.name != tag}
+            df = df.withColumns(absent).select(*[f.name for f in schema.fields if f.name != tag], tag)
+        frames.append(df)
+    if not frames:
+        raise ValueError("every file is empty")
+    return _union(frames)
+
+
+def _tag_of(owner: dict[str, str]) -> Column:
+    """Key of the row's file: by folder where a folder holds files of one key only, else by file."""
+    folders: dict[str, set[str]] = {}
+    for file, key in owner.items():
+        folders.setdefault(file.rsplit("/", 1)[0], set()).add(key)
+    lookup: dict[str, str] = {}
+    for file, key in owner.items():
+        folder = file.rsplit("/", 1)[0]
+        lookup[folder if len(folders[folder]) == 1 else file] = key
+    # file paths come back percent-encoded, local ones with two more slashes
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    path = F.regexp_replace(F.url_decode(encoded), "^file:/+", "file:/")
+    folder = F.regexp_extract(path, "^(.*)/[^/]*$", 1)
+    known = F.create_map(*[F.lit(x) for pair in lookup.items() for x in pair])
+    found = F.coalesce(F.try_element_at(known, folder), F.try_element_at(known, path))
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("no key for the file "), path)).cast("string"))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,

@@ -9,7 +9,8 @@ job resumes from the last committed batch. ``availableNow`` processes
 everything present and stops, so the job can be scheduled like a batch.
 
 A stream has one schema, so each landing folder holds files of one header
-layout (one folder per country / export layout).
+layout (one folder per country / export layout). A file whose header differs
+stops the stream with an error instead of being read by position.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from importlens.schemas import strings
 def trade_stream(spark: SparkSession, landing_dir: str, header: list[str], iso3: str | None = None,
                  measure_type: str = "double", max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of cleaned rows from the files landing in ``landing_dir``."""
-    reader = spark.readStream.option("header", True).schema(strings(*header))
+    reader = (spark.readStream.option("header", True).option("escape", '"').option("enforceSchema", False)
+              .schema(strings(*header)))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     raw = reader.csv(landing_dir)
@@ -33,9 +35,15 @@ def trade_stream(spark: SparkSession, landing_dir: str, header: list[str], iso3:
 
 def start_trade_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
                        header: list[str], iso3: str | None = None, measure_type: str = "double",
-                       available_now: bool = True) -> StreamingQuery:
-    """Append newly landed files, cleaned, to the Parquet table at ``out_dir``."""
-    writer = (trade_stream(spark, landing_dir, header, iso3, measure_type)
+                       available_now: bool = True, max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+    """Append newly landed files, cleaned, to the Parquet table at ``out_dir``.
+
+    A batch takes at most ``max_files_per_trigger`` files, so a first run over a
+    large folder is cut into bounded batches; rows are dealt by country before
+    the partitioned append, which bounds the files a batch writes.
+    """
+    writer = (trade_stream(spark, landing_dir, header, iso3, measure_type, max_files_per_trigger)
+              .repartition("country_iso3", "commodity_code")
               .writeStream.format("parquet")
               .option("checkpointLocation", checkpoint_dir)
               .partitionBy("country_iso3")
