@@ -18,8 +18,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op4_warc": warc_bundles.op4_warc,
-    "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
     "op1_license_scan": license_scan.ORACLE,
     "op2_topk_search": topk_search.ORACLE,
     "op4_warc": warc_bundles.ORACLE,
