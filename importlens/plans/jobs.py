@@ -41,16 +41,22 @@ RESULT_TABLES = [
 ]
 
 
-#: Presentation order of the published tables (equal measures by key).
+#: Presentation order of the published tables (equal measures by key); a minus means descending.
 ORDER = {
-    "commodity_surges_qatar": [F.desc("total_import_value"), "commodity_code", "commodity_desc"],
+    "commodity_surges_qatar": ["-total_import_value", "commodity_code", "commodity_desc"],
     "qatar_monthly_import_trend": ["year", "month"],
     "import_by_country_year": ["country_iso3", "year"],
     "host_country_comparison": ["country_iso3", "country_name"],
-    "predicted_stocking_opportunities": [F.desc("opportunity_score"), "commodity_code"],
+    "predicted_stocking_opportunities": ["-opportunity_score", "commodity_code"],
 }
 
 
+def presented(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the presentation order of the published table ``name``, if it has one."""
+    keys = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in ORDER.get(name, [])]
+    return df.orderBy(*keys) if keys else df
+
+
 @dataclass
 class Cleaned:
     trade: DataFrame
@@ -68,7 +74,6 @@ def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_
     ``country_iso3`` and ``indicator_code`` and the response text ``payload``
     (items outside ``years`` are dropped); otherwise as CSV rows.
 
-
     By default each country's export is read on its own, so each may have
     its own header layout. With ``one_layout`` (all exports share a header)
     every country is read in one tagged scan, which keeps the plan one scan
@@ -130,7 +135,7 @@ def result_tables(c: Cleaned, baseline: str = config.BASELINE_ISO3, target: str
     }
     if not sort:
         return tables
-    return {name: df.orderBy(*ORDER[name]) if name in ORDER else df for name, df in tables.items()}
+    return {name: presented(df, name) for name, df in tables.items()}
 
 
 #: Published tables that are no aggregates: their CSV keeps one file per task.
@@ -159,8 +164,7 @@ def _export(df: DataFrame, name: str, path: str) -> str:
     """CSV of a published table: one file, in the published order, for aggregates."""
     if name in UNBOUNDED:
         return write_csv(df, path)
-    order = ORDER.get(name)
-    return write_single_csv(df.orderBy(*order) if order else df, path)
+    return write_single_csv(presented(df, name), path)
 
 
 def export_all(spark: SparkSession, published_dir: str, export_dir: str) -> dict[str, str]:
