@@ -28,7 +28,7 @@ def resolve_roles(columns: Iterable[str], roles: dict[str, list[str]]) -> dict[s
     found = {role: first_present(cols, cands) for role, cands in roles.items()}
     missing = [role for role, c in found.items() if c is None]
     if missing:
-        raise ValueError(f"no column found for {', '.join(missing)}; the header has {', '.join(cols)}")
+        raise ValueError(f"no column found for {missing}; the header has {', '.join(cols)}")
     return found  # type: ignore[return-value]
 
 

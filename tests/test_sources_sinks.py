@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from importlens import dims
 from importlens.operators import coverage
-from importlens.sinks.files import publish, write_csv, write_parquet, write_single_csv
+from importlens.sinks.files import write_csv, write_parquet, write_single_csv
 from importlens.sources.files import read_csv_strings, read_csv_typed, read_tagged
 from importlens.sources.indicators import flatten_indicator_payloads
 from tests.conftest import write_text
@@ -79,13 +79,6 @@ def test_csv_and_parquet_round_trip(spark, tmp_dir):
     assert read_csv_strings(spark, os.path.join(tmp_dir, "many")).count() == 2
 
 
-def test_publish_registry(spark, tmp_dir):
-    tables = {"a": spark.range(3), "b": spark.range(5)}
-    done = publish(tables, lambda df, name: write_parquet(df, os.path.join(tmp_dir, name)))
-    assert done == ["a", "b"]
-    assert spark.read.parquet(os.path.join(tmp_dir, "b")).count() == 5
-
-
 def test_event_calendar_csv(spark, tmp_dir):
     cal = dims.event_calendar(spark)
     write_csv(cal, os.path.join(tmp_dir, "cal"))
@@ -114,15 +107,6 @@ def test_broadcast_if_small_checks_size(spark):
     assert "broadcast" not in plan_big.lower()
 
 
-def test_inferred_read_loses_leading_zeros(spark, tmp_dir):
-    """Why stages declare schemas: inference turns codes into numbers."""
-    from importlens.sources.files import read_csv_inferred
-    p = write_text(tmp_dir, "cbp.csv", "fips,emp\n06037,5\n")
-    inferred = read_csv_inferred(spark, p).collect()[0]
-    assert inferred.fips == 6037
-    assert read_csv_strings(spark, p).collect()[0].fips == "06037"
-
-
 def test_cluster_session_needs_shared_checkpoint_dir():
     import pytest
     from importlens.session import ensure_checkpoint_dir
