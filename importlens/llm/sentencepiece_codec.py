@@ -38,6 +38,7 @@ from typing import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,8 +171,7 @@ class Codec:
         for byte, i in enumerate(v.byte_ids):
             spelled[i] = bytes([byte])
         spelled[v.unknown_id] = " ⁇ ".encode()
-        self.spelled = [s if v.normal[i] or i in v.byte_ids or i == v.unknown_id or p else b""
-                        for i, (s, p) in enumerate(zip(spelled, v.pieces))]
+        self.spelled = pa.array(spelled, pa.large_binary())
 
     def _ordered(self, own: list[int]) -> np.ndarray:
         """Piece ids become places: 0 unknown, then single characters, then longer pieces in the order of merging."""
@@ -333,8 +333,20 @@ class Codec:
         return " " + text if text and self.v.dummy_prefix else text
 
     def decode(self, ids: list) -> str:
-        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if self.v.dummy_prefix and text.startswith(" ") else text
+        return self.decode_rows(pa.array([ids], pa.list_(pa.int32())))[0]
+
+    def decode_rows(self, rows: pa.ListArray) -> list[str | None]:
+        """Texts of rows of ids: one gather of the pieces' bytes for all rows, cut at the rows' ends."""
+        spelled = self.spelled.take(rows.flatten())
+        ends = np.frombuffer(spelled.buffers()[1], dtype=np.int64)[spelled.offset:] if len(spelled) else np.zeros(1, np.int64)
+        cuts = ends[np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy())]].tolist()
+        raw = memoryview(spelled.buffers()[2] or b"")
+        out = []
+        for known, start, end in zip(rows.is_valid().to_pylist(), cuts, cuts[1:]):
+            text = str(raw[start:end], "utf-8", "replace")
+            text = text[1:] if self.v.dummy_prefix and text.startswith(" ") else text
+            out.append(text if known else None)
+        return out
 
 
 _CODECS: dict[int, Codec] = {}
@@ -354,14 +366,14 @@ class _Shared:
         self.key = id(self)
 
 
-def _added(docs: DataFrame, name: str, kind: T.DataType, make: Callable[[list], pa.Array], source: str) -> DataFrame:
+def _added(docs: DataFrame, name: str, kind: T.DataType, make: Callable[[pa.Array], pa.Array], source: str) -> DataFrame:
     """``docs`` with column ``name`` (replacing one of that name) made from ``source``."""
     kept = [f for f in docs.schema.fields if f.name != name]
     schema = T.StructType([*kept, T.StructField(name, kind)])
     columns = [f.name for f in kept]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = make(batch[source].to_pylist())
+        made = make(batch[source])
         return pa.RecordBatch.from_arrays([*[batch[c] for c in columns], made], [*columns, name])
 
     return arrow_pass(docs, step, schema)
@@ -378,16 +390,15 @@ def _ragged(rows: list[np.ndarray | None]) -> pa.Array:
 def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "text", name: str = "token_ids") -> DataFrame:
     """``docs`` with the piece ids of ``column``."""
     shared = _Shared(docs.sparkSession, vocabulary)
-    return _added(docs, name, T.ArrayType(T.IntegerType()), lambda x: _ragged(_codec(shared).encode(x)), column)
+    return _added(docs, name, T.ArrayType(T.IntegerType()), lambda x: _ragged(_codec(shared).encode(x.to_pylist())), column)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, column: str = "token_ids", name: str = "decoded") -> DataFrame:
     """``docs`` with the text that the ids of ``column`` spell."""
     shared = _Shared(docs.sparkSession, vocabulary)
 
-    def make(rows: list) -> pa.Array:
-        codec = _codec(shared)
-        return pa.array([None if r is None else codec.decode(r) for r in rows], pa.string())
+    def make(rows: pa.ListArray) -> pa.Array:
+        return pa.array(_codec(shared).decode_rows(rows), pa.string())
 
     return _added(docs, name, T.StringType(), make, column)
 
