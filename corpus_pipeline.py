@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal and similar lines of all documents one stays; the others leave their texts."""
-    return line_dedup.deduplicated(docs)
+    return line_dedup.deduplicated(docs, radius=None)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
