@@ -17,8 +17,11 @@ The sketch grows with the benchmark, not with the corpus; Spark broadcasts it
 only under its own size threshold and shuffles otherwise.
 
 Defined results: null and empty texts contain nothing, and items without words
-take no part. Rows that repeat a ``doc_id`` (or ``item_id``) count as one text.
-A null id is an id like any other. Extra columns are ignored.
+take no part. ``contained_items`` counts rows that repeat a ``doc_id`` (or
+``item_id``) as one text, and a null id is an id like any other, as the SQL text
+of the query defines it. ``remove_contaminated`` decides for each row by its own
+text: rows that share an id, or have none, are told apart by a hash of the text.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -98,9 +101,12 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = SHINGLE_WORDS,
                         similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that contain no item."""
-    found = contained_items(docs, benchmark, width, similarity).select("doc_id").distinct()
-    return same_key(docs, written(found, "contaminated"), "doc_id", "left_anti")
+    """The rows of ``docs`` whose own text contains no item."""
+    own = F.struct(docs["doc_id"].alias("id"), F.xxhash64(docs["text"]).alias("hash"))
+    found = contained_items(docs.select(own.alias("doc_id"), "text"), benchmark, width, similarity)
+    found = written(found.select("doc_id.id", "doc_id.hash").distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(found["id"]) & (F.xxhash64(docs["text"]) == found["hash"])
+    return docs.join(found, same, "left_anti")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,3 +66,13 @@ def test_empty_tables(spark):
     assert dc.contained_items(docs, none).collect() == []
     assert dc.remove_contaminated(docs, none).count() == 1
     assert dc.contained_items(docs.limit(0), spark.createDataFrame([(1, "a b")], "item_id long, text string")).collect() == []
+
+
+def test_rows_of_one_id_are_decided_by_their_own_text(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    words = item.split()
+    rows = [(None, "so " + item), (None, "a clean text"), (7, item + " end"), (7, "another clean text"), (7, None),
+            (8, " ".join(words[:8])), (8, " ".join(words[4:]))]     # 4 and 6 of 10 shingles, together all
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dc.remove_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(str(r) for i, r in enumerate(rows) if i not in (0, 2))
