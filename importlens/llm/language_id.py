@@ -33,8 +33,9 @@ from importlens.llm.common import arrow_pass, counted_broadcast, table, written
 
 BUCKETS, TRAIN_ROWS, CHUNK = 4096, 2000, 1 << 18
 FOLDS, HELD_OUT_FOLD, UNKNOWN = 4, 2, "und"
-#: Documents with a lower score are rejected by the pipeline's stage.
-MIN_SCORE = 0.25
+#: Documents with a lower score are rejected by the pipeline's stage. On the 249 held-out documents with a
+#: letter of sf0.01 the least score is 0.565; texts in no learned language and junk get 0.31 to 0.40.
+MIN_SCORE = 0.5
 
 #: Language families by ISO 639-1 code. Languages that are not listed form one family.
 FAMILIES = {

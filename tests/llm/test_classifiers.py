@@ -97,3 +97,14 @@ def test_trees_walk_as_their_arrays_say():
                 node = trees.left[k, node] + (bins[trees.feature[k, node]] > trees.bin[k, node])
             total += trees.value[k, node]
         assert abs(p[row] - 1 / (1 + np.exp(-total))) < 1e-12
+
+
+def test_doubtful_texts_go_and_held_out_documents_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    junk = ["qzxjk vvkq wxzj", "zq", "Привет мир это дом и вода", "日本語の文章です", "asdf jkl; qwer uiop"]
+    texts = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(junk)], "doc_id long, text string")
+    with_junk = docs.unionByName(texts, allowMissingColumns=True)
+    kept = {r.doc_id for r in li.accepted(with_junk).select("doc_id").collect()}
+    assert not {-1 - i for i in range(len(junk))} & kept
+    held = docs.where((li.fold(F.col("doc_id"), 4) == 2) & F.col("text").rlike(r"\p{L}")).select("doc_id").collect()
+    assert len(held) > 100 and {r.doc_id for r in held} <= kept
