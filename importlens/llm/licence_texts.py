@@ -1,5 +1,8 @@
 """Known licence texts and notices, and spellings that count as equal."""
 
+import re
+from pathlib import Path
+
 #: Public licence texts (without their copyright lines) and common notices, by SPDX identifier.
 TEXTS = {
     "0BSD": [
@@ -144,3 +147,24 @@ SPELLINGS = [
     (r" copyright  owner(s?) ", r" copyright  holder\1 "),
     (r" https ", r" http "),
 ]
+
+
+def _whole(name: str) -> list[str]:
+    """A licence's whole text (files in ``licences/``), and the same without the instructions at its end."""
+    text = (Path(__file__).parent / "licences" / f"{name}.txt").read_text(encoding="utf-8")
+    end = re.search(r"^\W*(APPENDIX: )?How to Apply (the|these)\b", text, re.I | re.M)
+    return [text, text[:end.start()]] if end else [text]
+
+
+def _general_bsd(text: str) -> str:
+    """The three clauses without the name of the University of California."""
+    text = text.replace("the University nor", "the copyright holder nor")
+    text = text.replace("REGENTS AND CONTRIBUTORS", "COPYRIGHT HOLDERS AND CONTRIBUTORS")
+    return text.replace("REGENTS OR CONTRIBUTORS", "COPYRIGHT HOLDER OR CONTRIBUTORS")
+
+
+for _id, _name in {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1",
+                   "LGPL-3.0": "LGPL-3", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}.items():
+    TEXTS[_id] = TEXTS.get(_id, []) + _whole(_name)
+TEXTS["BSD-3-Clause"] = [f(x) for x in _whole("BSD") for f in (_general_bsd, str)]
+TITLES["BSD-3-Clause"] = "BSD 3-Clause License"

@@ -37,3 +37,17 @@ def test_empty_tables(spark):
     assert ls.license_matches(none, ls.known_licenses(spark)).collect() == []
     docs = spark.createDataFrame([(1, "a", "x", "y")], SCHEMA)
     assert ls.license_matches(docs, none.select("license_id", "text")).collect() == []
+
+
+def test_whole_texts_of_long_licences_match(spark):
+    from pathlib import Path
+    folder = Path(ls.__file__).parent / "licences"
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+             "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+    texts = {i: (folder / f"{f}.txt").read_text() for f, i in files.items()}
+    rows = [(n, v, "x", "y") for n, t in enumerate(texts.values()) for v in (t, "Copyright (c) 2019 Some One\n" + t.upper())]
+    cut = texts["Apache-2.0"].index("APPENDIX: How")
+    rows += [(50, texts["Apache-2.0"][:cut], "x", "y"), (51, texts["GPL-3.0"][:20000], "x", "y"),
+             (52, texts["MPL-2.0"] + " unless it rains", "x", "y")]
+    got = ls.license_matches(spark.createDataFrame(rows, SCHEMA), ls.known_licenses(spark)).where("scope = 'text'").collect()
+    assert {(r.doc_id, r.license_id, r.matches) for r in got} == {(n, i, 2) for n, i in enumerate(texts)} | {(50, "Apache-2.0", 1)}
