@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from importlens.llm import decontaminate, html_extract, language_id, license_scan, line_dedup, quality, sentencepiece_codec, simhash_dedup, topk_search, warc_bundles
+from importlens.llm import decontaminate, html_extract, language_id, license_scan, line_dedup, merkle_manifest, quality, sentencepiece_codec, simhash_dedup, topk_search, warc_bundles
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_html_extract": html_extract.op7_html_extract,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
+    "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {

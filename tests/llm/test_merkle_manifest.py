@@ -59,7 +59,7 @@ def _docs(seed, sizes):
     docs = []
     for source, n in sizes.items():
         for _ in range(n):
-            i = rng.choice([None] + list(range(10 ** 6)))
+            i = rng.randrange(10 ** 6) if rng.random() < 0.9 else None
             text = rng.choice([None, "", "abc", "Ärger Über ALLES", "x" * 5000, f"Text {i}"])
             docs.append({"doc_id": i, "text": text, "lang": rng.choice(["de", None]), "source": source, "n_chars": rng.choice([None, 3])})
     return docs
