@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from importlens.llm import conversation_repair, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle_manifest, quality, sentencepiece_codec, simhash_dedup, topk_search, warc_bundles
+from importlens.llm import chat_format, conversation_repair, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle_manifest, quality, sentencepiece_codec, simhash_dedup, topk_search, warc_bundles
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_html_extract": html_extract.op7_html_extract,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash_dedup": simhash_dedup.op9_simhash_dedup,
+    "op11_chat_format": chat_format.op11_chat_format,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
@@ -24,6 +25,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_topk_search": topk_search.ORACLE,
     "op4_warc": warc_bundles.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
+    "op11_chat_format": chat_format.ORACLE,
 }
 
 

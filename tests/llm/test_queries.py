@@ -25,12 +25,12 @@ def test_query_matches_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert all(isinstance(sql, str) for sql in registry.oracle_sql().values())
 
 
-@pytest.mark.parametrize("name", ["op1_license_scan", "op6_decontaminate"])
+@pytest.mark.parametrize("name", ["op1_license_scan", "op6_decontaminate", "op11_chat_format"])
 def test_native_plans(spark, name):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().toString()
     for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "CartesianProduct"):
@@ -39,6 +39,6 @@ def test_native_plans(spark, name):
 
 def test_every_document_once(spark):
     docs = table(spark, SF, "documents").count()
-    for name in ("op3_quality", "op5_sentencepiece", "op8_line_dedup", "op9_simhash_dedup", "op10_language_id"):
+    for name in ("op3_quality", "op5_sentencepiece", "op8_line_dedup", "op9_simhash_dedup", "op10_language_id", "op13_merkle_manifest"):
         assert registry.queries()[name](spark, SF).count() == docs, name
     assert license_scan.known_licenses(spark).count() > 10
