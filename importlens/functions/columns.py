@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from importlens.functions.exact import total
+
 # A plain decimal number with optional sign, fraction and exponent and
 # surrounding blanks -- the strings a coercing numeric parser accepts.
 _NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -73,14 +75,9 @@ def commodity_label_key(code: str | Column) -> tuple[Column, Column]:
     return cleaned, F.lpad(F.substring(cleaned, 1, 2), 2, "0")
 
 
-def mean(c: str | Column) -> Column:
-    """Average as ``double(sum) / count``.
-
-    Equal to ``avg`` for doubles; for decimals the sum stays exact, so the
-    result does not depend on the order rows are added in.
-    """
-    v = _col(c)
-    return F.try_divide(F.sum(v).cast("double"), F.count(v))
+def mean(df: DataFrame, c: str) -> Column:
+    """Average of column ``c`` of ``df`` as ``double(sum) / count``; the sum is exact, whatever the order of the rows."""
+    return F.try_divide(total(df, c).cast("double"), F.count(F.col(c)))
 
 
 def pct_change(value: str | Column, previous: str | Column) -> Column:

@@ -15,20 +15,21 @@ from pyspark.sql import functions as F
 
 from importlens import config
 from importlens.functions.columns import mean
+from importlens.functions.exact import total
 from importlens.operators.measures import country_slice
 
 
 def baseline_demand(trade: DataFrame, iso3: str = config.BASELINE_ISO3) -> DataFrame:
     """Baseline country's total value per commodity code."""
     return (country_slice(trade, iso3).groupBy("commodity_code")
-            .agg(F.sum("trade_value").alias("qatar_demand")))
+            .agg(total(trade, "trade_value").alias("qatar_demand")))
 
 
 def gdp_averages(indicators: DataFrame, gdp_name: str = config.GDP_INDICATOR) -> DataFrame:
     """Average GDP per country over its non-null values."""
     return (indicators
             .filter((F.col("indicator_name") == F.lit(gdp_name)) & F.col("value").isNotNull())
-            .groupBy("country_iso3").agg(mean("value").alias("avg_gdp")))
+            .groupBy("country_iso3").agg(mean(indicators, "value").alias("avg_gdp")))
 
 
 def scaling_factor(indicators: DataFrame, gdp_name: str = config.GDP_INDICATOR) -> DataFrame:
@@ -40,7 +41,7 @@ def scaling_factor(indicators: DataFrame, gdp_name: str = config.GDP_INDICATOR)
 
 def capacity(county: DataFrame) -> DataFrame:
     """Average employment over all county rows (one row, NULL when none)."""
-    return county.agg(mean("employment").alias("avg_employment"))
+    return county.agg(mean(county, "employment").alias("avg_employment"))
 
 
 def factor_stats(indicators: DataFrame, targets: list[str],
@@ -72,19 +73,6 @@ def target_factors(indicators: DataFrame, targets: list[str],
     return factors_from(factor_stats(indicators, targets, gdp_name), targets)
 
 
-def scaled_totals(totals: DataFrame, indicators: DataFrame, county: DataFrame,
-                  target: str = config.TARGET_ISO3[0], gdp_name: str = config.GDP_INDICATOR) -> DataFrame:
-    """Predicted demand and score of summed baseline demand (``qatar_demand``).
-
-    The factor and the capacity are constants of the target, so the prediction
-    of a sum is the sum of the predictions; exact demand sums stay exact until
-    the one multiplication, whatever the order of the rows.
-    """
-    factor = target_factors(indicators, [target], gdp_name).getItem(0).getField("gdp_factor")
-    predicted = totals.withColumn("predicted_demand", F.col("qatar_demand").cast("double") * factor)
-    return opportunity_score(predicted, county)
-
-
 def predicted_demand(trade: DataFrame, indicators: DataFrame,
                      baseline: str = config.BASELINE_ISO3,
                      targets: list[str] | None = None,

@@ -1,7 +1,7 @@
 """Trade and indicator measures (the published analysis tables).
 
-Sums keep the measure's own type (exact for decimals); averages use
-``mean`` (double). All groupings run as partial + final hash aggregates, so
+Sums are exact for the measure's own type and do not depend on the order of the
+rows (see ``functions.exact``); averages use ``mean`` (double). All groupings run as partial + final hash aggregates, so
 a country holding a large share of the rows is pre-aggregated map-side
 before any shuffle.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from importlens import config
 from importlens.functions.columns import mean
+from importlens.functions.exact import total
 
 
 def exclude_rollup(trade: DataFrame, rollup_code: str = config.ROLLUP_CODE) -> DataFrame:
@@ -31,7 +32,7 @@ def rollup_summary(trade: DataFrame) -> DataFrame:
     return trade.groupBy("country_iso3").agg(
         F.count(F.lit(1)).alias("rows_total"),
         F.count_if(keep).alias("rows_kept"),
-        F.sum(F.when(keep, F.col("trade_value"))).alias("value_kept"),
+        total(trade, "trade_value", F.when(keep, F.col("trade_value"))).alias("value_kept"),
     )
 
 
@@ -39,14 +40,14 @@ def top_commodities(trade: DataFrame, iso3: str = config.BASELINE_ISO3) -> DataF
     """Total import value per (code, description) of one country."""
     return (country_slice(trade, iso3)
             .groupBy("commodity_code", "commodity_desc")
-            .agg(F.sum("trade_value").alias("total_import_value")))
+            .agg(total(trade, "trade_value").alias("total_import_value")))
 
 
 def monthly_trend(trade: DataFrame, iso3: str = config.BASELINE_ISO3) -> DataFrame:
     """Import value per calendar month of one country."""
     return (country_slice(trade, iso3)
             .groupBy(F.year("month_date").alias("year"), F.month("month_date").alias("month"))
-            .agg(F.sum("trade_value").alias("monthly_import_value")))
+            .agg(total(trade, "trade_value").alias("monthly_import_value")))
 
 
 def monthly_trend_by_country(trade: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def monthly_trend_by_country(trade: DataFrame) -> DataFrame:
     return (exclude_rollup(trade)
             .groupBy("country_iso3", F.year("month_date").alias("year"),
                      F.month("month_date").alias("month"))
-            .agg(F.sum("trade_value").alias("monthly_import_value")))
+            .agg(total(trade, "trade_value").alias("monthly_import_value")))
 
 
 def indicator_trends(indicators: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def imports_by_year(trade: DataFrame) -> DataFrame:
     """Per country and year: total value and exact number of distinct codes."""
     return (exclude_rollup(trade)
             .groupBy("country_iso3", F.year("month_date").alias("year"))
-            .agg(F.sum("trade_value").alias("total_import_value"),
+            .agg(total(trade, "trade_value").alias("total_import_value"),
                  F.count_distinct("commodity_code").alias("distinct_commodities")))
 
 
@@ -82,7 +83,7 @@ def indicator_averages(indicators: DataFrame) -> DataFrame:
     """Average of every indicator per country over all its years."""
     return (indicator_trends(indicators)
             .groupBy("country_iso3", "country_name", "indicator_name")
-            .agg(mean("value").alias("average_indicator_value")))
+            .agg(mean(indicators, "value").alias("average_indicator_value")))
 
 
 def indicator_pivot(indicators: DataFrame, names: list[str] = config.INDICATOR_NAMES,
@@ -95,15 +96,15 @@ def indicator_pivot(indicators: DataFrame, names: list[str] = config.INDICATOR_N
     per-indicator averages, since each cell holds one average.
     """
     rows = indicator_trends(indicators).filter(F.col("indicator_name").isin(list(names)))
-    return rows.groupBy(*keys).pivot("indicator_name", list(names)).agg(mean("value"))
+    return rows.groupBy(*keys).pivot("indicator_name", list(names)).agg(mean(indicators, "value"))
 
 
 def import_summary(trade: DataFrame) -> DataFrame:
     """Per country: total, average row value and distinct codes."""
     return (exclude_rollup(trade)
             .groupBy("country_iso3")
-            .agg(F.sum("trade_value").alias("total_import_value"),
-                 mean("trade_value").alias("average_transaction_value"),
+            .agg(total(trade, "trade_value").alias("total_import_value"),
+                 mean(trade, "trade_value").alias("average_transaction_value"),
                  F.count_distinct("commodity_code").alias("distinct_commodities")))
 
 
@@ -122,4 +123,4 @@ def host_comparison(trade: DataFrame, indicators: DataFrame,
 def country_imports(yearly: DataFrame) -> DataFrame:
     """Total import value per country from the country-year table."""
     return (yearly.groupBy("country_iso3")
-            .agg(F.sum("total_import_value").alias("total_import_value")))
+            .agg(total(yearly, "total_import_value").alias("total_import_value")))

@@ -1,8 +1,8 @@
 """Dashboard data sets: labels, growth, top-N, shares, histograms, KPIs.
 
-All inputs here are already aggregated (one row per month, commodity,
-label or country), so the few whole-table windows below run over
-configuration- or code-list-sized tables, never over raw trade rows.
+Inputs here are already aggregated (one row per month, commodity, label or
+country). Series and total orders are dealt by range (``operators.order``);
+the one whole-table window left is the total of a top-N set.
 Operators that take a scalar from a whole table (histogram bounds) use a
 scalar subquery, which stays correct on tables of any size.
 """
@@ -16,6 +16,8 @@ from importlens import dims
 from importlens.dims import local_table
 from importlens.operators.joins import broadcast_if_small
 from importlens.functions.columns import commodity_label_key, mean, pct_change
+from importlens.functions.exact import total
+from importlens.operators import order
 
 
 # ---------------------------------------------------------------- labels ----
@@ -45,14 +47,14 @@ def monthly_growth(trend: DataFrame, by: list[str] | None = None,
 
     The previous *row* is used (calendar gaps are not filled); the first row
     of a series and a zero base give NULL. ``by`` partitions the series
-    (e.g. per country); without it the whole (monthly) table is one series.
+    (e.g. per country); without it the whole table is one series. A series is
+    dealt by date over tasks, so no task holds a whole one; this writes the
+    (aggregated) rows once.
     """
-    by = list(by or [])
-    w = Window.partitionBy(*by).orderBy("date") if by else Window.orderBy("date")
-    v = F.col(value_col).cast("double")
-    return (trend
-            .withColumn("date", F.make_date("year", "month", F.lit(1)))
-            .withColumn("growth_rate", pct_change(v, F.lag(v).over(w))))
+    dated = trend.withColumn("date", F.make_date("year", "month", F.lit(1)))
+    rows = order.previous(dated, ["date"], value_col, "_previous", by)
+    growth = pct_change(F.col(value_col).cast("double"), F.col("_previous").cast("double"))
+    return rows.withColumn("growth_rate", growth).drop("_previous")
 
 
 def select_years(df: DataFrame, years: list[int]) -> DataFrame:
@@ -75,16 +77,15 @@ def totals_by_label(labelled: DataFrame, measures: list[str],
                     label_col: str = "commodity_label") -> DataFrame:
     """Sum each measure per label (codes sharing a chapter are merged).
 
-    Plain sums: exact for decimal measures, and for doubles over their whole
-    range (their last digits may depend on the order of the rows).
+    The sums are exact, whatever the order of the rows.
     """
-    return labelled.groupBy(label_col).agg(*[F.sum(m).alias(m) for m in measures])
+    return labelled.groupBy(label_col).agg(*[total(labelled, m).alias(m) for m in measures])
 
 
 def share_of_total(df: DataFrame, measure: str, share_col: str = "share") -> DataFrame:
     """Each row's share of the table's total (used on a top-N set)."""
-    total = F.sum(F.col(measure)).over(Window.partitionBy())
-    return df.withColumn(share_col, F.try_divide(F.col(measure).cast("double"), total.cast("double")))
+    whole = total(df, measure, over=Window.partitionBy())
+    return df.withColumn(share_col, F.try_divide(F.col(measure).cast("double"), whole.cast("double")))
 
 
 # -------------------------------------------------------------- histogram ---
@@ -123,8 +124,8 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
 def kpi_trend(trend: DataFrame, value_col: str = "monthly_import_value") -> DataFrame:
     """Total, average and peak of a (filtered) monthly series, one row."""
     v = F.col(value_col)
-    return trend.agg(F.sum(v).alias("total_import_value"),
-                     mean(v).alias("average_monthly_import"),
+    return trend.agg(total(trend, value_col).alias("total_import_value"),
+                     mean(trend, value_col).alias("average_monthly_import"),
                      F.max(v).alias("peak_monthly_import"))
 
 
@@ -139,17 +140,17 @@ def kpi_hosts(hosts: DataFrame) -> DataFrame:
     return hosts.agg(
         F.count_distinct("country_iso3").alias("countries_compared"),
         _key_of_largest("country_iso3", "total_import_value").alias("highest_import_country"),
-        F.sum("total_import_value").alias("total_import_value"))
+        total(hosts, "total_import_value").alias("total_import_value"))
 
 
 def kpi_predictions(predictions: DataFrame, by_label: DataFrame,
                     label_col: str = "commodity_label") -> DataFrame:
     """Total predicted demand (all codes), top label by score, max label score."""
-    total = predictions.agg(F.sum("predicted_demand")).scalar()
+    whole = predictions.agg(total(predictions, "predicted_demand")).scalar()
     return by_label.agg(
         _key_of_largest(label_col, "opportunity_score").alias("highest_opportunity"),
         F.max("opportunity_score").alias("max_opportunity_score"),
-    ).select(total.alias("total_predicted_demand"), "highest_opportunity",
+    ).select(whole.alias("total_predicted_demand"), "highest_opportunity",
              "max_opportunity_score")
 
 
@@ -187,11 +188,10 @@ def option_lists(options: dict[str, DataFrame]) -> DataFrame:
 
 # ----------------------------------------------------------- presentation ---
 
-def with_position(df: DataFrame, order: list[str | Column], by: list[str] | None = None,
+def with_position(df: DataFrame, keys: list[str | Column], by: list[str] | None = None,
                   name: str = "position") -> DataFrame:
-    """Presentation order as a column, counted from 1 (in each ``by`` group).
+    """Presentation order as a column, counted from 1 (in each ``by`` group), numbered over many tasks.
 
-    For aggregated tables (one row per code, month or country); the order must
-    name enough columns to be unique.
+    The order must name enough columns to be unique.
     """
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*(by or [])).orderBy(*order)))
+    return order.running(df, keys, by, name)

@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from importlens import config
+from importlens.functions.columns import mean
+from importlens.functions.exact import sql_exact_sum
+from importlens.operators.joins import broadcast_if_small
 
 # Fixture parameters: the driver tables know nations, not ISO codes.
 BASELINE = "NATION_1"
@@ -31,7 +34,7 @@ COVERAGE_YEARS = list(range(1, 32))
 TREND_YEARS = [1996, 1997]
 HOSTS_SELECTED = HOSTS + ["NATION_25"]
 N_INDICATOR_COUNTRIES = 27          # two more than nations: they have no trade
-MEASURE = "decimal(18,2)"           # exact sums, identical in both engines
+MEASURE = "double"                  # as published; sums are order-free (functions.exact)
 NATION_NAMES = [f"NATION_{i}" for i in range(25)]   # the nation table's fixed names
 NAICS_CYCLE = ["23", "42", "44", "45", "48", "49", "71", "72", "31"]
 
@@ -52,8 +55,7 @@ def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
-    # nation has 25 rows whatever the scale factor: a fixed-size broadcast.
-    cust_nation = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
+    cust_nation = cust.join(broadcast_if_small(nation), cust.c_nationkey == nation.n_nationkey)
     order_nation = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
     joined = (li.join(order_nation, li.l_orderkey == order_nation.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
@@ -116,13 +118,11 @@ def indicator_payloads(rows: DataFrame) -> DataFrame:
 
     Each response carries one item per year (the year's average, as an API
     returns one value per year), so a payload holds at most 31 items.
-    Countries ending in 7 land ``[meta]`` and those ending in 8 land
-    ``[meta, null]`` -- the two shapes that must yield no rows.
+    Beside them, countries ending in 7 land a response ``[meta]`` and those
+    ending in 8 ``[meta, null]``: the two shapes that must yield no rows.
     """
-    from importlens.functions.columns import mean
-
     per_year = (rows.groupBy("country_iso3", "country_name", "indicator_code", "year")
-                .agg(mean("value").alias("value")))
+                .agg(mean(rows, "value").alias("value")))
     item = F.struct(F.struct(F.col("country_name").alias("value")).alias("country"),
                     F.col("year").cast("string").alias("date"),
                     F.col("value").alias("value"))
@@ -130,10 +130,11 @@ def indicator_payloads(rows: DataFrame) -> DataFrame:
                .agg(F.collect_list(item).alias("items")))
     meta = F.to_json(F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"),
                               F.col("indicator_code").alias("indicator")))
-    payload = (F.when(F.col("country_iso3").endswith("7"), F.concat(F.lit("["), meta, F.lit("]")))
-               .when(F.col("country_iso3").endswith("8"), F.concat(F.lit("["), meta, F.lit(",null]")))
-               .otherwise(F.concat(F.lit("["), meta, F.lit(","), F.to_json("items"), F.lit("]"))))
-    return grouped.select("country_iso3", "indicator_code", payload.alias("payload"))
+    payload = F.concat(F.lit("["), meta, F.lit(","), F.to_json("items"), F.lit("]"))
+    empty = (F.when(F.col("country_iso3").endswith("7"), F.concat(F.lit("["), meta, F.lit("]")))
+             .when(F.col("country_iso3").endswith("8"), F.concat(F.lit("["), meta, F.lit(",null]"))))
+    shapes = F.explode(F.filter(F.array(payload, empty), lambda x: x.isNotNull()))
+    return grouped.select("country_iso3", "indicator_code", shapes.alias("payload"))
 
 
 # ----------------------------------------------------------- oracle SQL -----
@@ -162,7 +163,7 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
     "trade_clean": """
 SELECT * FROM (
   SELECT country_iso3, cmdCode AS commodity_code, cmdDesc AS commodity_desc,
-         TRY_CAST(primaryValue AS DECIMAL(18,2)) AS trade_value,
+         TRY_CAST(primaryValue AS DOUBLE) AS trade_value,
          TRY_CAST(substr(period, 1, 4) || '-' || substr(period, 5, 2) || '-01' AS DATE) AS month_date
   FROM trade_raw) s
 WHERE trade_value IS NOT NULL AND month_date IS NOT NULL""",
@@ -179,7 +180,7 @@ SELECT 'NATION_' || CAST(user_id % {N_INDICATOR_COUNTRIES} AS VARCHAR) AS countr
 FROM events""",
     "indicators": """
 SELECT country_iso3, country_name, year, indicator_code, indicator_name,
-       TRY_CAST(value AS DECIMAL(18,2)) AS value
+       TRY_CAST(value AS DOUBLE) AS value
 FROM indicator_raw""",
     "host_county": "SELECT * FROM " + _values(host_county_rows(), ["city", "state_abbr", "state_county_fips"]),
     "sectors": "SELECT * FROM " + _values(list(config.NAICS_SECTORS.items()), ["naics_prefix", "industry_group"]),
@@ -194,10 +195,10 @@ SELECT CAST(s_nationkey AS VARCHAR) AS state_txt,
 FROM supplier""",
     "county": """
 SELECT h.city, h.state_abbr, k.state_county_fips, k.naics_code, k.naics_prefix, g.industry_group,
-       TRY_CAST(k.est_txt AS DECIMAL(18,2)) AS establishments,
+       TRY_CAST(k.est_txt AS DOUBLE) AS establishments,
        CASE WHEN regexp_matches(k.emp_txt, '^\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*$')
-            THEN TRY_CAST(trim(k.emp_txt) AS DECIMAL(18,2)) END AS employment,
-       TRY_CAST(k.ap_txt AS DECIMAL(18,2)) AS annual_payroll
+            THEN TRY_CAST(trim(k.emp_txt) AS DOUBLE) END AS employment,
+       TRY_CAST(k.ap_txt AS DOUBLE) AS annual_payroll
 FROM (SELECT *,
              CASE WHEN length(state_txt) < 2 THEN lpad(state_txt, 2, '0') ELSE state_txt END ||
              CASE WHEN length(county_txt) < 3 THEN lpad(county_txt, 3, '0') ELSE county_txt END AS state_county_fips,
@@ -215,6 +216,33 @@ _VIEW_DEPS = {
 }
 
 
+def exact_sums(sql: str) -> str:
+    """``EXACT_SUM(x)``, with or without FILTER or OVER, written out (see ``functions.exact``)."""
+    at = sql.find("EXACT_SUM(")
+    while at >= 0:
+        value, end = _bracket(sql, at + len("EXACT_SUM"))
+        where, over = None, None
+        if sql.startswith(" FILTER (", end):
+            where, end = _bracket(sql, end + len(" FILTER "))
+            where = where.removeprefix("WHERE ")
+        if sql.startswith(" OVER (", end):
+            inner, end = _bracket(sql, end + len(" OVER "))
+            over = f"OVER ({inner})"
+        sql = sql[:at] + sql_exact_sum(value, where, over) + sql[end:]
+        at = sql.find("EXACT_SUM(", at)
+    return sql
+
+
+def _bracket(sql: str, at: int) -> tuple[str, int]:
+    """Text of the bracket that opens at ``at``, and the place behind it."""
+    depth = 0
+    for i in range(at, len(sql)):
+        depth += (sql[i] == "(") - (sql[i] == ")")
+        if depth == 0:
+            return sql[at + 1:i], i + 1
+    raise ValueError(f"open bracket in {sql[at:at + 40]}")
+
+
 def with_views(body: str, *views: str, extra: list[str] | None = None) -> str:
     """Prefix ``body`` with the CTEs it needs (and what those need).
 
@@ -231,4 +259,4 @@ def with_views(body: str, *views: str, extra: list[str] | None = None) -> str:
     for v in views:
         add(v)
     ctes = [f"{v} AS ({SQL_VIEWS[v]}\n)" for v in _VIEW_ORDER if v in need] + list(extra or [])
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return exact_sums("WITH " + ",\n".join(ctes) + "\n" + body)

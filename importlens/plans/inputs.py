@@ -23,16 +23,15 @@ def trade_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned trade fact (value as exact decimal), partitioned by country.
+    """Cleaned trade fact, partitioned by country.
 
-    Cleaned from the written landing stage, so the raw joins run once. The
-    landing is one folder per country, so every input split holds a single
-    country and the partitioned write needs no shuffle: a large country's
-    many files are cleaned and written by as many tasks.
+    Cleaned from the written landing stage, so the raw joins run once. A split
+    may hold small files of several countries, so the rows are rebalanced by
+    country before the partitioned write; a large country is split over tasks.
     """
     return materialized(spark, sf_dir, "trade_clean",
                         lambda: clean_trade(trade_raw(spark, sf_dir).drop("region_key"), fx.MEASURE),
-                        partition_by=["country_iso3"], rebalance=False)
+                        partition_by=["country_iso3"])
 
 
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,6 +203,12 @@ def data_check(c: Cleaned, sample: int = 5, pull_plan: dict[str, list[int]] | No
     }
 
 
+def label_predictions(predictions: DataFrame) -> DataFrame:
+    """Score, predicted and baseline demand of the published predictions, summed per label."""
+    return report.totals_by_label(report.with_commodity_label(predictions),
+                                  ["opportunity_score", "predicted_demand", "qatar_demand"])
+
+
 def dashboard_tables(published: Mapping[str, DataFrame], years: list[int] | None = None,
                      countries: list[str] | None = None, indicator: str = config.GDP_INDICATOR,
                      indicator_names: list[str] = config.INDICATOR_NAMES,
@@ -226,7 +232,7 @@ def dashboard_tables(published: Mapping[str, DataFrame], years: list[int] | None
     if countries:
         host, yearly, trends = (report.select_countries(df, countries) for df in (host, yearly, trends))
     pred = report.with_commodity_label(published["predicted_stocking_opportunities"])
-    by_label = report.totals_by_label(pred, ["opportunity_score", "predicted_demand", "qatar_demand"])
+    by_label = label_predictions(published["predicted_stocking_opportunities"])
     return {
         "monthly_growth": growth_sel,
         "trend_kpis": report.kpi_trend(trend_sel),

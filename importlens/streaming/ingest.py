@@ -16,11 +16,14 @@ stops the stream with an error instead of being read by position.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from importlens.operators.clean import clean_trade_frame, drop_incomplete
 from importlens.schemas import strings
 
+SPREAD = 16
+
 
 def trade_stream(spark: SparkSession, landing_dir: str, header: list[str], iso3: str | None = None,
                  measure_type: str = "double", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -39,11 +42,12 @@ def start_trade_ingest(spark: SparkSession, landing_dir: str, out_dir: str, chec
     """Append newly landed files, cleaned, to the Parquet table at ``out_dir``.
 
     A batch takes at most ``max_files_per_trigger`` files, so a first run over a
-    large folder is cut into bounded batches; rows are dealt by country before
-    the partitioned append, which bounds the files a batch writes.
+    large folder is cut into bounded batches; a country's rows are dealt into at
+    most ``SPREAD`` parts before the partitioned append, which bounds the files a
+    batch writes and splits a large country whatever its codes.
     """
     writer = (trade_stream(spark, landing_dir, header, iso3, measure_type, max_files_per_trigger)
-              .repartition("country_iso3", "commodity_code")
+              .repartition("country_iso3", F.pmod(F.xxhash64("commodity_code", "month_date", "trade_value"), F.lit(SPREAD)))
               .writeStream.format("parquet")
               .option("checkpointLocation", checkpoint_dir)
               .partitionBy("country_iso3")
