@@ -41,7 +41,7 @@ def trade_csv_by_country(spark: SparkSession, sf_dir: str) -> str:
         if key not in _STAGED:
             path = work_dir(spark, "landed-trade-by-country")
             (inputs.trade_raw(spark, sf_dir).drop("region_key")
-             .hint("rebalance", "country_iso3").write.mode("overwrite").option("header", True)
+             .hint("rebalance", "country_iso3").write.mode("overwrite").option("header", True).option("escape", '"')
              .partitionBy("country_iso3").csv(path))
             _STAGED[key] = path
         return _STAGED[key]

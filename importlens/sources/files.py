@@ -3,8 +3,8 @@
 Schemas are declared, never inferred (inference costs a pass over the data
 and turns codes such as ``'06037'`` into numbers).
 
-CSV columns are bound by **name**: the header line of every file is looked up
-(one line per file, on the driver), files of equal header are read together
+CSV columns are bound by **name**: a job finds the header line of every file
+(no file is opened on the driver), files of equal header are read together
 against that header, and the groups are unioned by name, so a folder may hold
 files with reordered, missing or further columns. Quoting follows RFC 4180
 (a quote inside a quoted cell is doubled). Cells with line breaks need
@@ -14,27 +14,28 @@ files with reordered, missing or further columns. Quoting follows RFC 4180
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
+import io
 from functools import reduce
-from typing import Iterable
+from typing import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from importlens.operators.joins import broadcast_if_small
 from importlens.schemas import strings
+from importlens.session import work_dir
 
 
 def _paths(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Fully qualified data files at ``path`` (file, folder with subfolders, or glob), on its own file system."""
+def _data_files(spark: SparkSession, path: str) -> Iterator[str]:
+    """Data files at ``path`` as the file system lists them (none is opened)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(conf)
-    found = []
     for status in fs.globStatus(target) or []:
         walk = fs.listFiles(status.getPath(), True)
         while walk.hasNext():
@@ -42,43 +43,71 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
             inner = leaf.toString()[len(status.getPath().toString()):]
             # as Spark's own readers: names that start with "_" or "." are no data
             if not any(part.startswith(("_", ".")) for part in inner.split("/") if part and "=" not in part):
-                found.append(leaf.toString())
+                yield leaf.toString()
+
+
+def _require_files(spark: SparkSession, path: str) -> None:
+    if next(_data_files(spark, path), None) is None:
+        raise FileNotFoundError(f"no data files at {path}")
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Fully qualified data files at ``path`` (file, folder with subfolders, or glob), on its own file system."""
+    found = list(_data_files(spark, path))
     if not found:
         raise FileNotFoundError(f"no data files at {path}")
     return found
 
 
-def header_of(spark: SparkSession, file: str) -> tuple[str, ...] | None:
-    """Column names in the first line of a CSV file (None for an empty file)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-        source = codec.createInputStream(stream) if codec is not None else stream
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    if line is None:
-        return None
-    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
-
-
-def by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda f: header_of(spark, f), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, headers):
-        if header is not None:
-            groups.setdefault(header, []).append(file)
-    return groups
+def _own_path() -> Column:
+    """The row's file as a decoded, fully qualified path (it comes percent-encoded, local ones with two more slashes)."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.regexp_replace(F.url_decode(encoded), "^file:/+", "file:/")
+
+
+def first_lines(spark: SparkSession, paths: list[str], whole: bool = False) -> DataFrame:
+    """``(file, line)``: the first line with text of every file, read in tasks.
+
+    With ``whole`` a file is one string and its line is the first CSV record, whose quoted cells may hold line breaks.
+    """
+    text = spark.read.text(paths, wholetext=whole, recursiveFileLookup=True)
+    lines = text.select(_own_path().alias("file"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"),
+                        F.col("_metadata.file_block_start").alias("start"))
+    if whole:
+        record = F.regexp_extract("line", r'^\s*((?:[^"\r\n]++|"[^"]*+")*+)', 1)
+        return lines.select("file", record.alias("line"))
+    head = lines.where((F.col("start") == 0) & (F.trim("line") != ""))
+    return head.groupBy("file").agg(F.min_by("line", "at").alias("line"))
+
+
+def _columns(line: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader(io.StringIO(line.removeprefix("\ufeff"), newline="")), ()))
+
+
+def by_header(spark: SparkSession, paths: list[str], multi_line: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """What to read for each header: the given paths if all files have one, else the files of each.
+
+    The lines are found by a job and written; only distinct lines reach the driver, and
+    lists of files only if there are several headers.
+    """
+    path = work_dir(spark, "headers")
+    first_lines(spark, paths).write.parquet(path)
+    lines = spark.read.schema("file string, line string").parquet(path)
+    odd = F.pmod(F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit(""))), F.lit(2)) == 1
+    if multi_line and (cut := [r.file for r in lines.where(odd).select("file").collect()]):
+        lines = lines.where(~odd).unionByName(first_lines(spark, cut, whole=True))
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.select("line").distinct().collect():
+        headers.setdefault(_columns(row.line), []).append(row.line)
+    if len(headers) <= 1:
+        return {h: paths for h in headers}
+    return {h: [r.file for r in lines.where(F.col("line").isin(own)).select("file").collect()] for h, own in headers.items()}
 
 
 def _read(spark: SparkSession, header: tuple[str, ...], files: list[str], types: dict, multi_line: bool) -> DataFrame:
     schema = StructType([StructField(c, types.get(c, StringType()), True) for c in header])
     return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-            .option("multiLine", multi_line).schema(schema).csv(files))
+            .option("recursiveFileLookup", True).option("multiLine", multi_line).schema(schema).csv(files))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -86,9 +115,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _by_name(spark: SparkSession, paths: str | list[str], columns: StructType | None, multi_line: bool) -> DataFrame:
-    files = [f for p in _paths(paths) for f in list_files(spark, p)]
+    for p in _paths(paths):
+        _require_files(spark, p)
     types = {f.name: f.dataType for f in columns.fields} if columns is not None else {}
-    groups = by_header(spark, files)
+    groups = by_header(spark, _paths(paths), multi_line)
     frames = [_read(spark, h, fs, types, multi_line) for h, fs in groups.items()]
     if not frames:
         return spark.createDataFrame([], columns or StructType([]))
@@ -121,8 +151,9 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
     """Read several folders, files or globs and tag each row with its path's key.
 
     ``paths`` maps a key (e.g. ISO3) to a path of any scheme. Files of equal
-    header are read in one scan; the tag is found from the row's decoded, fully
-    qualified file path. A row whose file belongs to no key raises an error.
+    header are read in one scan; the tag comes from a join of the row's decoded,
+    fully qualified file path with a written table of paths, so the plan does not
+    grow with the files. A row whose file belongs to no key raises an error.
     """
     owner: dict[str, str] = {}
     for key, path in paths.items():
@@ -131,9 +162,9 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
                 raise ValueError(f"{file} belongs to {owner[file]} and to {key}")
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     own = {f.name for f in schema.fields} if schema is not None else None
-    frames = []
-    for header, files in by_header(spark, list(owner)).items():
-        df = _read(spark, header, files, types, False).withColumn(tag, _tag_of({f: owner[f] for f in files}))
+    frames, places = [], _path_tables(spark, owner)
+    for header, files in by_header(spark, list(paths.values())).items():
+        df = _tagged(_read(spark, header, files, types, False), places, tag)
         if own is not None:
             absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in header and f.name != tag}
             df = df.withColumns(absent).select(*[f.name for f in schema.fields if f.name != tag], tag)
@@ -143,22 +174,32 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], schema: StructType |
     return _union(frames)
 
 
-def _tag_of(owner: dict[str, str]) -> Column:
-    """Key of the row's file: by folder where a folder holds files of one key only, else by file."""
+def _path_tables(spark: SparkSession, owner: dict[str, str]) -> dict[str, DataFrame]:
+    """Written tables ``(place, key)``: folders that hold files of one key, and the files of other folders."""
     folders: dict[str, set[str]] = {}
     for file, key in owner.items():
         folders.setdefault(file.rsplit("/", 1)[0], set()).add(key)
-    lookup: dict[str, str] = {}
-    for file, key in owner.items():
-        folder = file.rsplit("/", 1)[0]
-        lookup[folder if len(folders[folder]) == 1 else file] = key
-    # file paths come back percent-encoded, local ones with two more slashes
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    path = F.regexp_replace(F.url_decode(encoded), "^file:/+", "file:/")
-    folder = F.regexp_extract(path, "^(.*)/[^/]*$", 1)
-    known = F.create_map(*[F.lit(x) for pair in lookup.items() for x in pair])
-    found = F.coalesce(F.try_element_at(known, folder), F.try_element_at(known, path))
-    return F.coalesce(found, F.raise_error(F.concat(F.lit("no key for the file "), path)).cast("string"))
+    rows = {"folder": [(f, min(k)) for f, k in folders.items() if len(k) == 1],
+            "file": [(f, k) for f, k in owner.items() if len(folders[f.rsplit("/", 1)[0]]) > 1]}
+    found = {}
+    for kind, own in rows.items():
+        if own:
+            path = work_dir(spark, f"paths-{kind}")
+            spark.createDataFrame(own, "place string, key string").write.parquet(path)
+            found[kind] = spark.read.schema("place string, key string").parquet(path)
+    return found
+
+
+def _tagged(df: DataFrame, places: dict[str, DataFrame], tag: str) -> DataFrame:
+    """``df`` with the key of each row's file."""
+    columns = [c for c in df.columns if c != tag]
+    out = df.select(*columns, _own_path().alias("__row_file"))
+    for kind, table in places.items():
+        place = F.regexp_extract("__row_file", "^(.*)/[^/]*$", 1) if kind == "folder" else F.col("__row_file")
+        side = broadcast_if_small(table.select(F.col("place").alias(f"__at_{kind}"), F.col("key").alias(f"__key_{kind}")))
+        out = out.join(side, place == F.col(f"__at_{kind}"), "left")
+    unknown = F.raise_error(F.concat(F.lit("no key for the file "), F.col("__row_file"))).cast("string")
+    return out.select(*columns, F.coalesce(*[F.col(f"__key_{kind}") for kind in places], unknown).alias(tag))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,

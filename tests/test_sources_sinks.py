@@ -133,3 +133,48 @@ def test_cluster_session_needs_shared_checkpoint_dir():
         ensure_checkpoint_dir(Stub({"spark.master": "spark://cluster:7077"}))
     assert ensure_checkpoint_dir(Stub({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/ckpt/"})) \
         == "hdfs:///shared/ckpt"
+
+
+def test_headers_are_found_in_tasks(spark, tmp_dir):
+    from importlens.sources.files import by_header
+    odd = os.path.join(tmp_dir, "a b+c=%")
+    os.makedirs(odd)
+    write_text(odd, "one.csv", "﻿a,b\n1,2\n")
+    write_text(odd, "two.csv", "\n\nb,a\n3,4\n")
+    write_text(odd, "empty.csv", "")
+    write_text(odd, "_hidden.csv", "x\n9\n")
+    groups = by_header(spark, [odd])
+    assert sorted(groups) == [("a", "b"), ("b", "a")] and all(len(v) == 1 for v in groups.values())
+    rows = sorted((r.a, r.b) for r in read_csv_strings(spark, odd).collect())
+    assert rows == [("1", "2"), ("4", "3")]
+    same = os.path.join(tmp_dir, "same")
+    os.makedirs(same)
+    for i in range(40):
+        write_text(same, f"{i}.csv", f"a,b\n{i},x\n")
+    assert by_header(spark, [same]) == {("a", "b"): [same]}
+    assert read_csv_strings(spark, same).count() == 40
+
+
+def test_header_with_a_line_break(spark, tmp_dir):
+    p = write_text(tmp_dir, "t.csv", 'code,"trade\n""value""",x\n01,1.5,"two\nlines"\n')
+    df = read_csv_strings(spark, p, multi_line=True)
+    assert df.columns == ["code", 'trade\n"value"', "x"]
+    assert tuple(df.collect()[0]) == ("01", "1.5", "two\nlines")
+
+
+def test_tags_by_a_path_table(spark, tmp_dir):
+    mixed = os.path.join(tmp_dir, "mixed")
+    os.makedirs(mixed)
+    os.makedirs(os.path.join(tmp_dir, "own", "deep"))
+    files = {iso: write_text(mixed, f"{iso} export.csv", "cmdCode\n01\n") for iso in ("QAT", "USA")}
+    write_text(os.path.join(tmp_dir, "own", "deep"), "x.csv", "period,cmdCode\n202201,02\n")
+    df = read_tagged(spark, files | {"CAN": os.path.join(tmp_dir, "own")})
+    assert sorted((r.country_iso3, r.cmdCode, r.period) for r in df.collect()) == [
+        ("CAN", "02", "202201"), ("QAT", "01", None), ("USA", "01", None)]
+
+    def plan_size(n):
+        folder = os.path.join(tmp_dir, f"many{n}")
+        os.makedirs(folder)
+        paths = {f"C{i}": write_text(folder, f"{i}.csv", "cmdCode\n01\n") for i in range(n)}
+        return len(read_tagged(spark, {"ALL": folder})._jdf.queryExecution().analyzed().toString()), paths
+    assert abs(plan_size(3)[0] - plan_size(60)[0]) < 200
