@@ -29,7 +29,12 @@ def clean_trade_frame(df: DataFrame, iso3: str | None = None,
     missing = [c for c in ("commodity_code", "trade_value", "period") if c not in h.columns]
     if missing:
         raise ValueError(f"a trade export needs {', '.join(missing)}; its header has {', '.join(df.columns)}")
-    return h.select(
+    return typed_trade(h, measure_type)
+
+
+def typed_trade(harmonised: DataFrame, measure_type: str = "double") -> DataFrame:
+    """The common columns with their types."""
+    return harmonised.select(
         F.col("country_iso3").cast("string").alias("country_iso3"),
         F.col("commodity_code").cast("string").alias("commodity_code"),
         F.col("commodity_desc").cast("string").alias("commodity_desc"),

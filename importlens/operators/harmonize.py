@@ -8,9 +8,9 @@ plan is built, and emit a single projection -- nothing is evaluated per row.
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable
+from typing import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from importlens import config
@@ -37,22 +37,30 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().upper() for c in df.columns])
 
 
-def harmonize_trade(df: DataFrame, iso3: str | None = None) -> DataFrame:
-    """Rename a landed trade frame to the common column set.
+def trade_renames(columns: Iterable[str]) -> dict[str, str]:
+    """What the columns of one landed header are called in the common column set.
 
     * ``cmdCode``/``cmdDesc`` -> ``commodity_code``/``commodity_desc`` when present;
     * only the first present of the value aliases becomes ``trade_value``;
-    * ``extract_period`` becomes ``period`` only when ``period`` is absent;
-    * ``country_iso3`` is added from ``iso3`` when missing;
-    * a missing description becomes a typed NULL column.
+    * ``extract_period`` becomes ``period`` only when ``period`` is absent.
     """
-    cols = df.columns
+    cols = list(columns)
     renames = {src: dst for src, dst in config.TRADE_RENAMES.items() if src in cols}
     value_col = first_present(cols, config.TRADE_VALUE_ALIASES)
     if value_col is not None:
         renames[value_col] = "trade_value"
     if "period" not in cols and "extract_period" in cols:
         renames["extract_period"] = "period"
+    return renames
+
+
+def harmonize_trade(df: DataFrame, iso3: str | None = None) -> DataFrame:
+    """Rename a landed trade frame to the common column set (see ``trade_renames``).
+
+    ``country_iso3`` is added from ``iso3`` when missing; a missing description
+    becomes a typed NULL column.
+    """
+    renames = trade_renames(df.columns)
     out = df.withColumnsRenamed(renames) if renames else df
     added = {}
     if "country_iso3" not in out.columns:
@@ -62,6 +70,46 @@ def harmonize_trade(df: DataFrame, iso3: str | None = None) -> DataFrame:
     return out.withColumns(added) if added else out
 
 
+TRADE_COLUMNS = ["country_iso3", "commodity_code", "commodity_desc", "trade_value", "period"]
+
+
+def harmonize_layouts(df: DataFrame, layout: str, headers: Mapping[object, Iterable[str]]) -> DataFrame:
+    """Harmonise rows of several headers in one pass over one frame.
+
+    ``df`` holds the columns of all headers, and its column ``layout`` says which
+    header a row came under; ``headers`` has the columns of each. Every header makes
+    its own choices, as ``harmonize_trade`` does for a frame; each common column
+    is one expression over ``layout``. Rows of an unknown layout have NULLs.
+    """
+    picked = {}
+    for target in TRADE_COLUMNS:
+        chosen = F.when(F.lit(False), F.lit(None).cast("string"))
+        for name, columns in headers.items():
+            own = {dst: src for src, dst in trade_renames(columns).items()}
+            source = own.get(target, target if target in set(columns) else None)
+            if source is not None:
+                chosen = chosen.when(F.col(layout) == F.lit(name), F.col(source))
+        picked[target] = chosen.alias(target)
+    return df.select(F.col(layout), *picked.values())
+
+
+def concat_layouts(df: DataFrame, layout: str, frames: Mapping[object, Mapping[str, Column]]) -> DataFrame:
+    """Row concatenation of frames cut from one table, in one scan of it.
+
+    ``frames`` gives, for every value of ``layout``, the frame's columns; the result has
+    the columns of all, NULL where a frame lacks one, and ``layout``.
+    """
+    names = list(dict.fromkeys(c for columns in frames.values() for c in columns))
+    out = []
+    for c in names:
+        value = F.when(F.lit(False), F.lit(None).cast("string"))
+        for name, columns in frames.items():
+            if c in columns:
+                value = value.when(F.col(layout) == F.lit(name), columns[c])
+        out.append(value.alias(c))
+    return df.where(F.col(layout).isin(list(frames))).select(F.col(layout), *out)
+
+
 def union_all_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     """Union by column name; columns missing from a frame become NULL."""
     frames = list(frames)

@@ -171,6 +171,13 @@ def row_profile(tables: dict[str, DataFrame], kept: dict[str, Column] | None = N
     return out
 
 
+def sample_rows(df: DataFrame, n: int, keys: list[str] | None = None) -> DataFrame:
+    """``n`` rows drawn by the MD5 of ``keys`` (all columns by default): the same rows however the table is laid out."""
+    keys = list(keys or df.columns)
+    shown = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.withColumn("__drawn", F.md5(shown)).orderBy("__drawn", *keys).limit(int(n)).drop("__drawn")
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

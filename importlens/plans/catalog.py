@@ -20,8 +20,8 @@ from importlens.functions.columns import (
 )
 from importlens.functions.exact import total
 from importlens.operators import coverage, forecast, measures, report
-from importlens.operators.clean import clean_trade, clean_trade_frame, drop_incomplete
-from importlens.operators.harmonize import harmonize_trade, tag_frame, union_all_by_name
+from importlens.operators.clean import clean_county, clean_trade, drop_incomplete, extract_county, typed_trade
+from importlens.operators.harmonize import concat_layouts, harmonize_layouts, harmonize_trade, union_all_by_name
 from importlens.plans import fixtures as fx
 from importlens.plans import inputs, jobs, staging
 from importlens.plans.fixtures import with_views
@@ -203,19 +203,22 @@ GROUP BY 1""", "trade_raw")
 
 @query("harmonize_columns", _SLICE_SQL)
 def q_harmonize_columns(spark, sf):
-    """The export under five header variants, each harmonised on its own."""
+    """The export under five headers, each harmonised by its own choices, in one scan."""
     raw = inputs.trade_raw(spark, sf)
-    by_region = {r: raw.filter(F.col("region_key") == r).drop("region_key") for r in range(5)}
-    variants = [
-        by_region[0],
-        by_region[1].withColumnsRenamed({"primaryValue": "TradeValue", "period": "extract_period"}),
-        by_region[2].withColumnsRenamed({"primaryValue": "cifvalue"}).withColumn("fobvalue", F.lit("0")),
-        by_region[3].drop("cmdDesc").withColumnsRenamed(
-            {"primaryValue": "fobvalue", "period": "extract_period"}),
-        by_region[4].withColumns({"TradeValue": F.lit("N/A"), "extract_period": F.lit("000000")}),
-    ]
-    cleaned = drop_incomplete(union_all_by_name(
-        [clean_trade_frame(v, None, fx.MEASURE) for v in variants]))
+    iso, code, desc = F.col("country_iso3"), F.col("cmdCode"), F.col("cmdDesc")
+    value, period = F.col("primaryValue"), F.col("period")
+    shared = {"country_iso3": iso, "cmdCode": code}
+    headers = {
+        0: shared | {"cmdDesc": desc, "primaryValue": value, "period": period},
+        1: shared | {"cmdDesc": desc, "TradeValue": value, "extract_period": period},
+        2: shared | {"cmdDesc": desc, "cifvalue": value, "fobvalue": F.lit("0"), "period": period},
+        3: shared | {"fobvalue": value, "extract_period": period},
+        4: shared | {"cmdDesc": desc, "primaryValue": value, "period": period, "TradeValue": F.lit("N/A"),
+                     "extract_period": F.lit("000000")},
+    }
+    landed = concat_layouts(raw, "region_key", headers)
+    harmonised = harmonize_layouts(landed, "region_key", headers)
+    cleaned = drop_incomplete(typed_trade(harmonised, fx.MEASURE))
     return cleaned.groupBy("country_iso3").agg(
         F.count(F.lit(1)).alias("row_count"), total(cleaned, "trade_value").alias("total_value"),
         F.count_if(F.col("commodity_desc").isNull()).alias("rows_without_desc"))
@@ -251,11 +254,11 @@ def q_comtrade_land_union(spark, sf):
     first alias for every row, so rows of the second pull lose their value
     and are cleaned away -- the behaviour of concatenating before cleaning.
     """
-    raw = inputs.trade_raw(spark, sf)
-    a = tag_frame(raw.filter(F.col("region_key") <= 2).drop("region_key"), pull_id="A")
-    b = tag_frame(raw.filter(F.col("region_key") > 2).drop("region_key", "cmdDesc")
-                  .withColumnRenamed("primaryValue", "TradeValue"), pull_id="B")
-    landed = union_all_by_name([a, b])
+    raw = inputs.trade_raw(spark, sf).withColumn("pull_id", F.when(F.col("region_key") <= 2, "A").otherwise("B"))
+    shared = {c: F.col(c) for c in ("country_iso3", "cmdCode", "period")}
+    landed = concat_layouts(raw, "pull_id", {
+        "A": shared | {"cmdDesc": F.col("cmdDesc"), "primaryValue": F.col("primaryValue")},
+        "B": shared | {"TradeValue": F.col("primaryValue")}})
     h = harmonize_trade(landed)
     ok = (lenient_number("trade_value", fx.MEASURE).isNotNull()
           & month_start_from_period("period").isNotNull())
@@ -837,6 +840,148 @@ def q_indicator_slice_selected(spark, sf):
     return measures.indicator_slice(trends, fx.GDP)
 
 
+# ======================================================= presented order ====
+
+@query("sorted_commodities", with_views("""
+SELECT commodity_code, commodity_desc, total_import_value,
+       row_number() OVER (ORDER BY total_import_value DESC, commodity_code, commodity_desc) AS position
+FROM topc""", "trade", extra=[SQL_TOPC]))
+def q_sorted_commodities(spark, sf):
+    """O1: the published order, largest total first, as a column numbered over many tasks."""
+    return jobs.positioned(_published(spark, sf, "commodity_surges_qatar"), "commodity_surges_qatar")
+
+
+@query("sorted_trend", with_views("""
+SELECT year, month, monthly_import_value, row_number() OVER (ORDER BY year, month) AS position
+FROM trend""", "trade", extra=[SQL_TREND]))
+def q_sorted_trend(spark, sf):
+    """O2: the published order of the monthly series."""
+    return jobs.positioned(_trend(spark, sf), "qatar_monthly_import_trend")
+
+
+@query("sorted_growth", with_views("""
+SELECT year, month, monthly_import_value, date, growth_rate, row_number() OVER (ORDER BY date) AS position
+FROM growth""", "trade", extra=[SQL_TREND, SQL_GROWTH]))
+def q_sorted_growth(spark, sf):
+    """The growth series in date order."""
+    return report.with_position(report.monthly_growth(_trend(spark, sf)), ["date"])
+
+
+@query("imports_series", with_views("""
+SELECT *, row_number() OVER (PARTITION BY country_iso3 ORDER BY year) AS position FROM (
+  SELECT country_iso3, CAST(year(month_date) AS INTEGER) AS year, EXACT_SUM(trade_value) AS total_import_value,
+         COUNT(DISTINCT commodity_code) AS distinct_commodities
+  FROM trade GROUP BY 1, 2) y""", "trade"))
+def q_imports_series(spark, sf):
+    """every country's yearly slice, numbered by year."""
+    return report.with_position(_published(spark, sf, "import_by_country_year"), ["year"], by=["country_iso3"])
+
+
+@query("trade_sample", with_views("""
+SELECT country_iso3, commodity_code, commodity_desc, month_date FROM trade_clean
+ORDER BY md5(country_iso3 || '|' || commodity_code || '|' || commodity_desc || '|' || CAST(month_date AS VARCHAR)) LIMIT 50""",
+                                  "trade_clean"))
+def q_trade_sample(spark, sf):
+    """Sample rows of the cleaned trade, the same however the table is laid out."""
+    rows = inputs.trade(spark, sf).select("country_iso3", "commodity_code", "commodity_desc", "month_date")
+    return report.sample_rows(rows, 50)
+
+
+# ======================================================= landed profiles ====
+
+@query("profile_landed", with_views("""
+SELECT COUNT(*) AS row_count, COUNT(DISTINCT cmdCode) AS distinct_codes,
+       COUNT(*) FILTER (WHERE cmdCode <> 'TOTAL') AS kept_count, CAST(5 AS INTEGER) AS columns
+FROM trade_raw""", "trade_raw"))
+def q_profile_landed(spark, sf):
+    """The landed files profiled with nothing declared but their header."""
+    from importlens.sources.files import read_csv_strings
+    df = read_csv_strings(spark, staging.trade_csv(spark, sf))
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("cmdCode").alias("distinct_codes"),
+                  F.count_if(F.col("cmdCode") != F.lit(config.ROLLUP_CODE)).alias("kept_count"),
+                  F.lit(len(df.columns)).alias("columns"))
+
+
+@query("cbp_clean_file", ORACLE["cbp_clean"])
+def q_cbp_clean_file(spark, sf):
+    """The county file read from disk as text (leading zeros survive), then cleaned."""
+    from importlens import dims
+    from importlens.sources.files import read_csv_strings
+    landed = read_csv_strings(spark, staging.county_csv(spark, sf))
+    hosts = dims.host_counties(spark, fx.host_county_rows())
+    return clean_county(extract_county(landed, hosts, dims.naics_sectors(spark), fx.MEASURE), fx.MEASURE)
+
+
+@query("wide_measures", with_views("""
+SELECT country_iso3, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE primaryValue <> 'N/A' AND v IS NULL) AS lost,
+       MAX(v) AS largest, EXACT_SUM(v) AS total_value
+FROM (SELECT country_iso3, primaryValue, TRY_CAST(primaryValue || 'E' || CAST(length(cmdDesc) * 2 - 14 AS VARCHAR) AS DOUBLE) AS v
+      FROM trade_raw) w
+GROUP BY 1""", "trade_raw"))
+def q_wide_measures(spark, sf):
+    """Values from far below 1 to beyond 1e16 keep their place in the measure, and their sums do not depend on order."""
+    raw = inputs.trade_raw(spark, sf)
+    wide = F.concat("primaryValue", F.lit("E"), (F.length("cmdDesc") * 2 - 14).cast("string"))
+    rows = raw.select("country_iso3", "primaryValue", lenient_number(wide, fx.MEASURE).alias("v"))
+    return rows.groupBy("country_iso3").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if((F.col("primaryValue") != "N/A") & F.col("v").isNull()).alias("lost"),
+        F.max("v").alias("largest"), total(rows, "v").alias("total_value"))
+
+
+# ============================================================ publishing ====
+
+_SETS = {
+    "commodity_surges_qatar": ("topc", "total_import_value"),
+    "qatar_monthly_import_trend": ("trend", "monthly_import_value"),
+    "worldbank_indicator_trends": ("(SELECT * FROM indicators WHERE value IS NOT NULL) i", "value"),
+    "import_by_country_year": ("""(SELECT country_iso3, year(month_date) AS year, EXACT_SUM(trade_value) AS total_import_value
+                                   FROM trade GROUP BY 1, 2) y""", "total_import_value"),
+    "host_country_comparison": ("host", "total_import_value"),
+    "predicted_stocking_opportunities": ("scored", "opportunity_score"),
+}
+_SET_SQL = with_views(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, 1 AS set_number, COUNT(*) AS row_count, EXACT_SUM({measure}) AS total_value FROM {source}"
+    for name, (source, measure) in _SETS.items()),
+    *_FC_VIEWS, extra=[SQL_TOPC, SQL_TREND, SQL_SUMMARY, SQL_HOST, SQL_FORECAST])
+
+
+def _set_profile(tables: dict, number: int) -> DataFrame:
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count"), total(df, _SETS[name][1]).alias("total_value"))
+             .select(F.lit(name).alias("table_name"), F.lit(number).alias("set_number"), "row_count", "total_value")
+             for name, df in tables.items()]
+    return union_all_by_name(parts)
+
+
+@query("published_set", _SET_SQL)
+def q_published_set(spark, sf):
+    """K3/C11: the set that readers see after one publication and a second one that failed half-way."""
+    from importlens.plans import publishing
+    from importlens.session import work_dir
+    tables = inputs.results(spark, sf)
+    out = work_dir(spark, "published")
+    jobs.publish(tables, out, csv=False)
+    broken = tables["predicted_stocking_opportunities"]
+    broken = broken.withColumn("commodity_code", F.raise_error(F.lit("stopped on purpose")).cast("string"))
+    try:
+        jobs.publish({n: df.limit(0) for n, df in tables.items()} | {"predicted_stocking_opportunities": broken}, out, csv=False)
+    except Exception as stopped:  # noqa: BLE001 -- any failure of the run must leave the set as it was
+        if "stopped on purpose" not in str(stopped):
+            raise
+    return _set_profile(jobs.read_published(spark, out), publishing.current(spark, out)["number"])
+
+
+@query("exported_set", _SET_SQL)
+def q_exported_set(spark, sf):
+    """The published set exported as CSV and read back typed."""
+    from importlens.session import work_dir
+    from importlens.sources.files import read_csv_typed
+    tables = inputs.results(spark, sf)
+    out = work_dir(spark, "published")
+    jobs.publish(tables, out, csv=False)
+    paths = jobs.export_all(spark, out, work_dir(spark, "exported"))
+    return _set_profile({n: read_csv_typed(spark, p, tables[n].schema) for n, p in paths.items()}, 1)
+
+
 # ============================================================ streaming =====
 
 STREAM_SECONDS = 4 * 3600

@@ -26,7 +26,7 @@ from importlens import config, dims, schemas
 from importlens.operators import coverage, forecast, measures, report
 from importlens.operators.clean import clean_county, clean_indicators, clean_trade, extract_county
 from importlens.operators.harmonize import union_all_by_name
-from importlens.plans.stages import build_concurrently
+from importlens.plans.publishing import publish_set, read_set
 from importlens.sinks.files import write_csv, write_jdbc, write_parquet, write_single_csv
 from importlens.sources.files import read_csv_strings, read_tagged
 from importlens.sources.indicators import flatten_indicator_payloads
@@ -57,6 +57,12 @@ def presented(df: DataFrame, name: str) -> DataFrame:
     return df.orderBy(*keys) if keys else df
 
 
+def positioned(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with its row numbers in the presentation order of the published table ``name``."""
+    keys = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in ORDER[name]]
+    return report.with_position(df, keys)
+
+
 @dataclass
 class Cleaned:
     trade: DataFrame
@@ -143,21 +149,17 @@ UNBOUNDED = {"worldbank_indicator_trends"}
 
 
 def publish(tables: Mapping[str, DataFrame], out_dir: str, csv: bool = True) -> dict[str, str]:
-    """Write each result table as Parquet, plus header CSV from that copy when ``csv``.
+    """Publish the result tables as one set: Parquet, plus header CSV from that copy when ``csv``.
 
-    Every table is evaluated once; independent tables are written side by side.
+    Every table is evaluated once; independent tables are written side by side. Readers
+    see the whole set or the one before (see ``plans.publishing``).
     """
-    def write(name: str, df: DataFrame) -> str:
-        base = f"{out_dir.rstrip('/')}/results/{name}"
+    def write(name: str, df: DataFrame, base: str) -> None:
         write_parquet(df, base + "/parquet")
         if csv:
             _export(df.sparkSession.read.parquet(base + "/parquet"), name, base + "/csv")
-        return base
 
-    if not tables:
-        return {}
-    spark = next(iter(tables.values())).sparkSession
-    return build_concurrently(spark, {n: (lambda n=n, df=df: write(n, df)) for n, df in tables.items()})
+    return publish_set(tables, out_dir, write)
 
 
 def _export(df: DataFrame, name: str, path: str) -> str:
@@ -197,9 +199,9 @@ def data_check(c: Cleaned, sample: int = 5, pull_plan: dict[str, list[int]] | No
             {"comtrade_clean": c.trade, "worldbank_clean": c.indicators, "cbp_clean": c.county},
             kept={"comtrade_clean": F.col("commodity_code") != F.lit(config.ROLLUP_CODE)}),
         "distinct_codes": report.distinct_values(c.trade, "commodity_code"),
-        "trade_sample": c.trade.limit(sample),
-        "indicator_sample": c.indicators.limit(sample),
-        "county_sample": c.county.limit(sample),
+        "trade_sample": report.sample_rows(c.trade, sample),
+        "indicator_sample": report.sample_rows(c.indicators, sample),
+        "county_sample": report.sample_rows(c.county, sample),
     }
 
 
@@ -258,9 +260,8 @@ def dashboard_tables(published: Mapping[str, DataFrame], years: list[int] | None
 
 
 def read_published(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """Readers over the Parquet copies written by ``publish``."""
-    return {name: spark.read.parquet(f"{out_dir.rstrip('/')}/results/{name}/parquet")
-            for name in RESULT_TABLES}
+    """Readers over the Parquet copies of the set that ``publish`` published last."""
+    return read_set(spark, out_dir, RESULT_TABLES)
 
 
 def write_dashboards(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:

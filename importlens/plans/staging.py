@@ -11,7 +11,7 @@ import threading
 
 from pyspark.sql import SparkSession
 
-from importlens.plans import inputs
+from importlens.plans import fixtures, inputs
 from importlens.session import app_id, work_dir
 from importlens.sinks.files import write_csv
 
@@ -45,3 +45,14 @@ def trade_csv_by_country(spark: SparkSession, sf_dir: str) -> str:
              .partitionBy("country_iso3").csv(path))
             _STAGED[key] = path
         return _STAGED[key]
+
+
+def county_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The county business file as it lands: CSV text under its messy header."""
+    key = _key(spark, sf_dir, "county_csv")
+    with _LOCK:
+        if key not in _STAGED:
+            path = work_dir(spark, "landed-county")
+            write_csv(fixtures.county_raw(spark, sf_dir), path)
+            _STAGED[key] = path
+        return _STAGED[key]
