@@ -30,6 +30,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """``path`` on its own file system, as a URI that Arrow opens in a task.
+
+    A path without a scheme belongs to the session's default file system, which only
+    Hadoop's configuration knows. Arrow opens ``file``, ``hdfs``, ``viewfs`` (through the
+    Hadoop library), ``s3`` and ``gs``; Hadoop's names of the S3 scheme are translated.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    scheme, rest = uri.split(":", 1)
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    return f"{scheme}://{rest}" if not rest.startswith("//") else f"{scheme}:{rest}"
+
+
 #: A side of a join is broadcast up to so many rows of a few numbers (counted first).
 BROADCAST_ROWS = 500_000
 

@@ -38,7 +38,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from importlens.llm.common import table, written
+from importlens.llm.common import shared_uri, table, written
 from importlens.session import work_dir
 
 SHARD_ROWS, PAGE, FANOUT, QUERY_BLOCK = 16384, 128, 16, 512
@@ -110,7 +110,7 @@ class MTree:
         q = query.astype(np.int64)
         base = float(q @ q) + self.most
         slack = 1e-7 * (1 + base) ** 0.5
-        best: list[tuple[int, int]] = []
+        best: dict[int, int] = {}           # the best product of each of the best ids
         limit, floor = np.inf, None
         queue = [(0.0, 0, -1.0)]
         while queue:
@@ -127,21 +127,28 @@ class MTree:
             products = self.x[rows] @ q
             self.computed += len(rows)
             if self.leaf[node]:
-                good = products >= (np.partition(products, -k - 1)[-k - 1] if len(products) > k + 1 else products.min())
+                for at in np.argsort(-products, kind="stable").tolist():
+                    product = int(products[at])
+                    if floor is not None and product < floor:
+                        break
+                    for i in ids_of(int(rows[at])):
+                        best[i] = max(best.get(i, product), product)
+                    if len(best) > k or floor is None and len(best) == k:
+                        best = dict(sorted(best.items(), key=_rank)[:k])
+                        floor = min(best.values())
                 if floor is not None:
-                    good &= products >= floor
-                if good.any():
-                    best += [(-p, i) for p, row in zip(products[good].tolist(), rows[good].tolist()) for i in ids_of(row)]
-                    best = sorted(set(best))[:k]
-                    if len(best) == k:
-                        floor = -best[-1][0]
-                        limit = max(0.0, base - 2 * floor) ** 0.5
+                    limit = max(0.0, base - 2 * floor) ** 0.5
             else:
                 distance = np.sqrt(np.maximum(0, base - 2 * products))
                 for d, r, c in zip(distance.tolist(), radius.tolist(), child.tolist()):
                     if d - r <= limit + slack:
                         heapq.heappush(queue, (max(least, d - r), c, d))
-        return best
+        return sorted((-p, i) for i, p in best.items())
+
+
+def _rank(found: tuple[int, int]) -> tuple[int, int]:
+    """Order of ``(id, product)``: largest product first, then the smaller id."""
+    return -found[1], found[0]
 
 
 def integer_vectors(rows: DataFrame, scale: int = SCALE, column: str = "embedding") -> DataFrame:
@@ -154,7 +161,7 @@ def integer_vectors(rows: DataFrame, scale: int = SCALE, column: str = "embeddin
 
 
 def _blocks(path: str) -> Iterator[tuple[np.ndarray, list]]:
-    files, folder = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    files, folder = pafs.FileSystem.from_uri(path)
     for batch in ds.dataset(folder, filesystem=files, format="parquet").to_batches(batch_size=QUERY_BLOCK):
         yield batch["vec_id"].to_numpy(zero_copy_only=False), batch["v"].to_pylist()
 
@@ -186,6 +193,7 @@ def top_products(vectors: DataFrame, queries: Column, k: int = TOP, shard_rows:
     spark = vectors.sparkSession
     path = work_dir(spark, "topk-queries")
     vectors.where(queries).select("vec_id", "v").distinct().write.parquet(path)
+    path = shared_uri(spark, path)
     order = Window.partitionBy("v").orderBy("vec_id")
     # the limit also applies before the shuffle, so copies of one vector send few rows
     ranked = vectors.distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)

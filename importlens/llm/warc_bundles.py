@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from importlens.llm.common import arrow_pass, counted_broadcast, table, written
+from importlens.llm.common import arrow_pass, counted_broadcast, shared_uri, table, written
 from importlens.session import work_dir
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL, MIN_BYTES = 1 << 18, 1 << 26, 3, 0
@@ -140,7 +140,8 @@ class BundleReader:
 
 
 def _opened(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if re.match(r"[a-z0-9]+:", path) else (pafs.LocalFileSystem(), path)
+    """File system and path of a URI (see ``common.shared_uri``)."""
+    return pafs.FileSystem.from_uri(path)
 
 
 def _write_task(batches: Iterator[pa.RecordBatch], folder: str, frame_bytes: int, bundle_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -171,6 +172,7 @@ def _write_task(batches: Iterator[pa.RecordBatch], folder: str, frame_bytes: int
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, frame_bytes: int = FRAME_BYTES,
                    bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write a record for every row of ``pages`` (``page_id, url, html``) into ``folder``; returns the written index."""
+    folder = shared_uri(pages.sparkSession, folder)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     sha = F.unhex(F.sha1(F.col("html").cast("binary"))).alias("sha")

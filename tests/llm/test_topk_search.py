@@ -61,3 +61,28 @@ def test_bounds_save_products():
 def test_empty_table(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert ts.top_products(ts.integer_vectors(frame), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_ids_with_several_vectors(spark):
+    # id 1 fills eight of the best places; the next ids must still be found
+    rows = [(0, [1.0], "q")] + [(1, [1.0 - n / 64], "x") for n in range(8)] + [(i, [0.5 - i / 64], "x") for i in range(2, 9)]
+    rng = np.random.default_rng(5)
+    rows += [(int(i), rng.normal(size=3).tolist(), "x") for i in rng.integers(0, 120, size=900)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert {(0, r, 1 if r == 1 else r) for r in range(1, 6)} <= {(a, b, c) for a, b, c, _ in slow(rows[:16], 50)}
+    for shard_rows in (40, 16384):
+        got = ts.top_products(ts.integer_vectors(frame), F.col("vec_id") % 50 == 0, shard_rows=shard_rows)
+        assert {tuple(r) for r in got.collect()} == slow(rows, 50)
+
+
+def test_shared_paths_are_qualified(spark, tmp_dir):
+    from importlens.llm.common import shared_uri
+    conf = spark._jsc.hadoopConfiguration()
+    assert shared_uri(spark, tmp_dir) == f"file://{tmp_dir}" == shared_uri(spark, f"file:{tmp_dir}")
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://shared/")
+    conf.set("fs.viewfs.mounttable.shared.link./work", f"file:{tmp_dir}")
+    try:        # a path without a scheme is on the default file system, not on the executor's disk
+        assert shared_uri(spark, "/work/x") == "viewfs://shared/work/x"
+    finally:
+        conf.set("fs.defaultFS", before)
