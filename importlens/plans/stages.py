@@ -8,7 +8,7 @@ single-country analyses prune to one folder. A ``rebalance`` hint lets
 adaptive execution split a country holding a large share of rows over many
 tasks and files instead of funnelling it through one.
 
-Stages are memoised per (application, input folder, stage name).
+Stages are memoised per (application, input folder and what it holds, stage name).
 """
 
 from __future__ import annotations
@@ -25,21 +25,32 @@ from pyspark import inheritable_thread_target
 from importlens.session import _context, app_id, work_dir
 
 _LOCK = threading.Lock()
-_KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
-_DONE: dict[tuple[str, str, str], tuple[str, object]] = {}
+_KEY_LOCKS: dict[tuple[str, tuple, str], threading.RLock] = {}
+_DONE: dict[tuple[str, tuple, str], tuple[str, object]] = {}
 TIMINGS: dict[str, float] = {}
 
 
+def input_mark(spark: SparkSession, folder: str) -> tuple:
+    """Name, size, number of files and time of a folder: changed data is read anew."""
+    sc = _context(spark)
+    if sc is None:
+        return (folder.rstrip("/"),)
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(target)
+    return folder.rstrip("/"), held.getLength(), held.getFileCount(), fs.getFileStatus(target).getModificationTime()
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
                  partition_by: list[str] | None = None, rebalance: bool = True) -> DataFrame:
     """Write ``build()`` once as Parquet and return a reader over it.
 
     One lock per stage: different stages are written concurrently, the same
     stage only once. ``rebalance=False`` skips the shuffle before a
-    partitioned write when every input split already holds one partition
-    value (e.g. input read from a folder-per-country layout).
+    partitioned write, for a caller who knows that every input split holds one
+    partition value.
     """
-    key = (app_id(spark), sf_dir.rstrip("/"), name)
+    key = (app_id(spark), input_mark(spark, sf_dir), name)
     with _LOCK:
         key_lock = _KEY_LOCKS.setdefault(key, threading.RLock())
     with key_lock:

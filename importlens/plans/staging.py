@@ -12,15 +12,16 @@ import threading
 from pyspark.sql import SparkSession
 
 from importlens.plans import fixtures, inputs
+from importlens.plans.stages import input_mark
 from importlens.session import app_id, work_dir
 from importlens.sinks.files import write_csv
 
 _LOCK = threading.Lock()
-_STAGED: dict[tuple[str, str, str], str] = {}
+_STAGED: dict[tuple[str, tuple, str], str] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
-    return (app_id(spark), sf_dir.rstrip("/"), what)
+def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, tuple, str]:
+    return (app_id(spark), input_mark(spark, sf_dir), what)
 
 
 def trade_csv(spark: SparkSession, sf_dir: str) -> str:

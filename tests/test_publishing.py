@@ -80,3 +80,12 @@ def test_sample_does_not_depend_on_layout(spark):
     df = spark.range(1000).withColumn("v", F.when(F.col("id") % 3 > 0, F.col("id")))
     a, b = (sorted(map(tuple, sample_rows(df.repartition(n), 20).collect()), key=str) for n in (1, 7))
     assert a == b and len(a) == 20 and sample_rows(df.limit(0), 5).count() == 0
+
+
+def test_changed_input_is_read_anew(spark, tmp_dir):
+    from importlens.plans.stages import materialized
+    folder = f"{tmp_dir}/in"
+    for n in (3, 8):
+        spark.range(n).write.mode("overwrite").parquet(f"{folder}/t.parquet")
+        assert materialized(spark, folder, "changed", lambda: spark.read.parquet(f"{folder}/t.parquet")).count() == n
+        assert materialized(spark, folder, "changed", lambda: pytest.fail("written twice")).count() == n
