@@ -11,13 +11,15 @@ common start of the path (cut at a directory, or up to ``NEAR`` characters into
 the last segment) that holds another path; of that group the first and the last
 path are the partners. Only group minima and maxima are aggregated, so a host
 with many pages needs no task of its own. The line sequences of page and partner
-are aligned by a longest common subsequence, and shared lines are deleted:
-outside the article all of them, inside it those that are mostly links (a
-repeated paragraph of an article is no template). A partner that shares every
-undecided line is a copy and tells nothing.
+are aligned by a longest common subsequence, and shared lines are deleted: outside
+the article all of them, inside it those that are mostly links (articles share
+sentences, also with the adverts of other pages, that belong to their text). A
+partner that shares every undecided line is a copy and tells nothing.
 
-Afterwards marked lines that no partner shares go too, and where there is an
-article, so does what stands outside it.
+Afterwards marked lines that no partner shares go too. Text outside the article goes
+unless it is ``TEASER`` times as long as the article, which then was a teaser. Inline adverts and
+controls give no text wherever they stand. Classes and ids count as whole words: every
+part of a hyphenated one must be a hint or a word of layout.
 
 Defined results: a null page is empty, its text too. Pages without an address
 have no partner. Rows that repeat a page give repeated results. Paths are
@@ -38,13 +40,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from importlens.llm.common import arrow_pass, table, written
+from importlens.llm.common import arrow_pass, counted_broadcast, table, written
 
-NEAR, ROWS_LIMIT = 3, 1 << 28
+NEAR, ROWS_LIMIT, TEASER = 3, 1 << 28, 4
 MARKED, ARTICLE, OPEN = 0, 1, 2
 
 #: Elements by their part in a page.
-SILENT = set("script style noscript template svg iframe object canvas textarea title head math audio video map".split())
+SILENT = set("script style noscript template svg iframe object canvas textarea title head audio video map".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
              "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary "
@@ -55,6 +57,10 @@ HINTS = re.compile(
     r"(ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|login|masthead|menus?|"
     r"modal|nav|navbar|navigation|newsletter|notices?|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|"
     r"sidebar|signup|social|sponsor\w*|subscribe|toolbar|widgets?)")
+#: Words of layout that may stand beside a hint in one class name.
+LAYOUT = set("a b area bar block bottom box btn button center col column container desktop form global group holder home icon icons inline "
+             "inner item items js left link links list main mobile module outer page panel right row section site slot small sticky "
+             "text title top unit wrap wrapper zone".split())
 CONTENT = set("article body content entry main post story text".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
@@ -77,18 +83,26 @@ def _is_marked(tag: str, attributes: str, inside: bool) -> bool:
         return True
     if tag in ("html", "body", "main"):
         return False
-    words = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}"))
+    names = [re.split(r"[^a-z0-9]+", n) for n in f"{found.get('class', '')} {found.get('id', '')}".split()]
+    words = {w for n in names for w in n}
     if tag == "article":
-        return bool(words & {"comment", "comments", "ad", "advert"})
-    if not inside and "header" in words:
+        return any(n in (["comment"], ["comments"], ["ad"], ["advert"]) for n in names)
+    if not inside and any("header" in n and set(n) <= LAYOUT | {"header"} for n in names):
         return True
-    return not words & CONTENT and any(HINTS.fullmatch(w) for w in words)
+    return not words & CONTENT and any(_is_hint(n) for n in names)
+
+
+def _is_hint(name: list[str]) -> bool:
+    """Whether a class name says what it is with all of its parts."""
+    parts = [w for w in name if w and not w.isdigit()]
+    hints = [bool(HINTS.fullmatch(w)) for w in parts]
+    return any(hints) and all(h or w in LAYOUT for h, w in zip(hints, parts))
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
     """Text, region and whether it is mostly links, of each block of a page."""
     out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []      # open elements: tag, marked, inside the article
+    stack: list[tuple[str, bool, bool, bool]] = []      # open elements: tag, marked, inside the article, without text
     parts, linked = [], 0
 
     def flush() -> None:
@@ -103,7 +117,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
 
     def text_until(end: int) -> None:
         nonlocal linked
-        if end > at:
+        if end > at and not (stack and stack[-1][3]):
             text = entities.unescape(page[at:end])
             parts.append(text)
             if links:
@@ -126,7 +140,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         elif closing:
             if tag in BLOCKS:
                 flush()
-            if any(t == tag for t, _, _ in stack):
+            if any(e[0] == tag for e in stack):
                 while stack:
                     t = stack.pop()[0]
                     links -= t == "a"
@@ -146,17 +160,17 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 ends = CLOSED_BY.get(tag, set()) | {"p"}
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in ends:
-                        links -= sum(t == "a" for t, _, _ in stack[i:])
+                        links -= sum(e[0] == "a" for e in stack[i:])
                         del stack[i:]
                         break
                     if stack[i][0] in BLOCKS:
                         break
-            marked, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            marked, inside, silent = stack[-1][1:] if stack else (False, False, False)
             if not marked and _is_marked(tag, attributes, inside):
-                marked = True
+                marked, silent = True, tag not in BLOCKS
             inside = inside or tag in ("article", "main")
             if not attributes.endswith("/"):
-                stack.append((tag, marked, inside))
+                stack.append((tag, marked, inside, silent))
                 links += tag == "a"
         elif tag == "hr":
             flush()
@@ -224,14 +238,16 @@ def _lengths(a: list[int], b: list[int]) -> list[int]:
 def main_text(lines: list[tuple[str, int, bool]], own: list[int], partners: Iterable[list[int]]) -> str:
     """The lines that are left, without what the partners share."""
     undecided = {i for i, (_, region, links) in enumerate(lines) if region == OPEN or region == ARTICLE and links}
+    article = any(region == ARTICLE for _, region, _ in lines)
     shared: set[int] = set()
     for partner in partners:
         same = common(own, partner) & undecided
-        if any(lines[i][1] == OPEN for i in undecided - same) or any(x[1] == ARTICLE for x in lines):
+        if article or any(lines[i][1] == OPEN for i in undecided - same):
             shared |= same
-    article = any(region == ARTICLE for _, region, _ in lines)
-    wanted = ARTICLE if article else OPEN
-    return "\n\n".join(text for i, (text, region, _) in enumerate(lines) if region == wanted and i not in shared)
+    left = [(i, region, text) for i, (text, region, _) in enumerate(lines) if region != MARKED and i not in shared]
+    chars = {r: sum(len(text) for i, region, text in left if region == r and not lines[i][2]) for r in (ARTICLE, OPEN)}
+    teaser = chars[OPEN] > TEASER * chars[ARTICLE]
+    return "\n\n".join(text for _, region, text in left if region == ARTICLE or teaser)
 
 
 def _keys(lines: list[tuple[str, int, bool]]) -> list[int]:
@@ -259,6 +275,7 @@ def partners(lines: DataFrame) -> DataFrame:
     placed = rows.select("row", "host", "path", F.explode(starts).alias("start"))
     place = F.struct("path", "row")
     groups = placed.groupBy("host", "start").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low.path <> high.path")
+    groups = counted_broadcast(written(groups, "page-groups"))      # a host's root holds all of its pages
     near_rows = placed.join(groups, ["host", "start"]).groupBy("row").agg(
         F.max(F.struct(F.length("start").alias("n"), "path", "low", "high")).alias("m"))
     other = F.filter(F.array("m.low", "m.high"), lambda x: x["path"] != F.col("m.path"))
