@@ -76,3 +76,14 @@ def test_rows_of_one_id_are_decided_by_their_own_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = dc.remove_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert sorted(map(str, map(tuple, kept))) == sorted(str(r) for i, r in enumerate(rows) if i not in (0, 2))
+
+
+def test_query_takes_each_text_for_itself(spark, tmp_dir):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    words = item.split()
+    rows = [(None, " ".join(words[:8])), (None, " ".join(words[4:])), (1, item), (1, item), (1, "x " + item), (2, " ".join(words[:8])), (2, " ".join(words[4:]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(9, item)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    got = dc.op6_decontaminate(spark, tmp_dir)
+    assert got.columns == ["doc_id", "item_id", "n_shingles", "matched", "containment"]
+    assert sorted(map(tuple, got.collect())) == [(1, 9, 10, 10, 1.0)] * 2
