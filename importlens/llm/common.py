@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from typing import Callable, Iterator
 
 import pyarrow as pa
@@ -44,6 +45,16 @@ def shared_uri(spark: SparkSession, path: str) -> str:
     return f"{scheme}://{rest}" if not rest.startswith("//") else f"{scheme}:{rest}"
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are no longer held.
+
+    Their cleaner runs when the driver's JVM collects garbage, which a mostly idle
+    driver seldom does; between large stages the files would add up.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: A side of a join is broadcast up to so many rows of a few numbers (counted first).
 BROADCAST_ROWS = 500_000
 
