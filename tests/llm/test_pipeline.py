@@ -26,3 +26,19 @@ def test_no_documents(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    rows = [tuple(r) for r in docs.collect()]
+    text = max((r[1] for r in rows if r[1]), key=len)
+    rows += rows[:3] + [(None, text, None, None, None), (None, None, None, None, None), (900001, "", "en", "x", 0),
+                        (900002, None, "en", "x", None), (900003, "word " * 60_000, "en", "x", 1)]
+    frame = spark.createDataFrame(rows, docs.schema).selectExpr(
+        "*", "'k' AS line", "1 AS number", "2 AS id", "'t' AS task", "3 AS component_id", "4 AS item_id")
+    for _, stage in cp.STAGES[:-1]:
+        frame = cp.written(stage(spark, frame, SF), "stage")
+        assert frame.columns[:5] == docs.columns and set(frame.columns) >= {"line", "number", "id", "task", "component_id", "item_id"}
+        assert {(r.line, r.number, r.id, r.task, r.component_id, r.item_id) for r in frame.collect()} <= {("k", 1, 2, "t", 3, 4)}
+    encoded = cp.STAGES[-1][1](spark, frame, SF)
+    assert encoded.count() == frame.count() and 0 < frame.count() < len(rows)
