@@ -37,6 +37,8 @@ def input_mark(spark: SparkSession, folder: str) -> tuple:
         return (folder.rstrip("/"),)
     target = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):       # a name that only tells stages apart
+        return (folder.rstrip("/"),)
     held = fs.getContentSummary(target)
     return folder.rstrip("/"), held.getLength(), held.getFileCount(), fs.getFileStatus(target).getModificationTime()
 
