@@ -178,3 +178,15 @@ def test_tags_by_a_path_table(spark, tmp_dir):
         paths = {f"C{i}": write_text(folder, f"{i}.csv", "cmdCode\n01\n") for i in range(n)}
         return len(read_tagged(spark, {"ALL": folder})._jdf.queryExecution().analyzed().toString()), paths
     assert abs(plan_size(3)[0] - plan_size(60)[0]) < 200
+
+
+def test_first_lines_hold_one_batch(spark, tmp_dir):
+    """The header pass neither sorts nor groups the lines: a task's memory does not grow with its split."""
+    from importlens.sources.files import first_lines
+    for i in range(40):
+        write_text(tmp_dir, f"part {i:02d}+.csv", "\n" * (i % 3) + f"h{i}\n" + "row\n" * (i * 40))
+    write_text(tmp_dir, "blank.csv", "\n \n")
+    found = first_lines(spark, [tmp_dir])
+    assert {r.file.rsplit("/", 1)[1]: r.line for r in found.collect()} == {f"part {i:02d}+.csv": f"h{i}" for i in range(40)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Aggregate" not in plan
