@@ -58,3 +58,14 @@ def test_sql_twin_is_bit_equal(spark, seed, tmp_dir):
     got = dict(spark.read.parquet(f"{tmp_dir}/t").groupBy("k").agg(exact_sum("v")).collect())
     want = dict(duckdb.sql(f"SELECT k, {sql_exact_sum('v')} FROM '{tmp_dir}/t/*.parquet' GROUP BY 1").fetchall())
     assert got == want
+
+
+def test_bands_are_added_as_whole_numbers(spark):
+    """Both halves of a band, of either sign, without decimals in the aggregation."""
+    rng = random.Random(7)
+    values = [rng.choice([-1, 1]) * rng.randrange(2 ** 56) * 2.0 ** rng.choice([-52, -20, 0, 40, 100]) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7).agg(exact_sum("v").alias("s"))
+    want = float(sum(Fraction(v) for v in values))
+    assert abs(df.collect()[0].s - want) <= abs(want) * 2 ** -50
+    keys = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate" in x]
+    assert keys and not any("partial_sum(cast" in x and "decimal" in x.split("partial_sum(", 1)[1] for x in keys)
