@@ -1,5 +1,7 @@
 """Licence scans: equivalent spellings match, other texts do not."""
 
+from pyspark.sql import functions as F
+
 from importlens.llm import license_scan as ls
 from importlens.llm.licence_texts import TEXTS
 
@@ -51,3 +53,24 @@ def test_whole_texts_of_long_licences_match(spark):
              (52, texts["MPL-2.0"] + " unless it rains", "x", "y")]
     got = ls.license_matches(spark.createDataFrame(rows, SCHEMA), ls.known_licenses(spark)).where("scope = 'text'").collect()
     assert {(r.doc_id, r.license_id, r.matches) for r in got} == {(n, i, 2) for n, i in enumerate(texts)} | {(50, "Apache-2.0", 1)}
+
+
+def test_searches_share_their_start(spark):
+    """The factored searches find what their alternatives find, and try them at one place each."""
+    from importlens.llm.license_scan import ANY_SPELLING, COPYRIGHT, COPYRIGHT_LINE
+    from importlens.llm.licence_texts import SPELLINGS
+    assert all(p.startswith(" ") for p, _ in SPELLINGS) and ANY_SPELLING.startswith(" (?:") and COPYRIGHT_LINE.count("^") == 3
+    words = ["licence", "sublicences", "sub  licensable", "acknowledgements", "analogue", "organisation", "favourite", "labelling", "fulfils",
+             "defences", "centres", "artefact", "programme", "practised", "whilst", "wilful", "non  commercial", "per  cent",
+             "copyright  owners", "https", "license", "whilsts", "xwhilst", ""]
+    heads = ["copyright 2020", "Copyright".lower(), "-- (c) <", "© [", "copyright by x", "all rights reserved.", "all rights reserved. x", "x all rights reserved",
+             "(c)\t(c)", "copyright  199", "** copyright©", "all rights reserved\r", ""]
+    rows = [(f" {w} ",) for w in words] + [(f" a  {w}  b ",) for w in words] + [(f"{w} ",) for w in words] + [(h,) for h in heads]
+    t = F.col("t")
+    single = F.lit(False)
+    for p, _ in SPELLINGS:
+        single = single | t.rlike(p)
+    got = spark.createDataFrame(rows, "t string").select(
+        "t", t.rlike(ANY_SPELLING).alias("any"), single.alias("single"), t.rlike(COPYRIGHT_LINE).alias("line"), t.rlike(COPYRIGHT).alias("old")).collect()
+    assert [(r.t, r.any, r.line) for r in got] == [(r.t, r.single, r.old) for r in got]
+    assert 0 < sum(r.any for r in got) < len(got) and 0 < sum(r.line for r in got) < len(got)
