@@ -4,7 +4,7 @@ A text is cut into units that no piece crosses (a run of spaces with the
 following characters that occur in longer pieces; every other character alone).
 Units that a worker has not met before are grouped by length, and the units of a
 group advance together, one character at a time: prefix hashes give the hash of
-every substring, which probes the sorted piece keys of that length, and
+every substring, which probes the sorted piece keys of that length (if any starts with the same bits), and
 vectorised maxima over the pieces that end at a position store backpointers.
 
 The file's model type says what a best path is:
@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, compress
 from typing import Callable
 
 import numpy as np
@@ -50,6 +50,8 @@ UNIGRAM, BPE = 1, 2
 UNKNOWN_COST = 10.0
 #: Units kept by a worker, pair verdicts kept by a worker (a power of two), units in one numpy pass.
 KEPT_UNITS, KEPT_PAIRS, PASS_UNITS = 150_000, 1 << 19, 4096
+#: Leading bits of a hash by which most substrings are known to be no piece.
+START_BITS = 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 NONE = np.int64(1) << 40
 
@@ -159,20 +161,28 @@ class Codec:
         self.powers = np.ones(self.longest + 1, dtype=np.uint64)
         for n in range(self.longest):
             self.powers[n + 1:] *= BASE     # modulo 2 ** 64
-        self.keys, self.values = [None], [None]
+        self.keys, self.values, self.starts = [None], [None], [None]
         for n in range(1, self.longest + 1):
             found = [i for i in own if len(v.pieces[i]) == n]
             hashes = self._hashes(np.array([[ord(c) for c in v.pieces[i]] for i in found], dtype=np.uint64).reshape(-1, n))[:, -1]
             by = np.argsort(hashes)
             self.keys.append(hashes[by])
             self.values.append(np.array([self.order[i] for i in found], dtype=np.int64)[by])
-        self.met: dict[str, tuple[int, ...]] = {}
+            self.starts.append(np.zeros(1 << START_BITS, dtype=bool))
+            self.starts[n][self.keys[n] >> np.uint64(64 - START_BITS)] = True
+        self._forget()
         spelled = [p.encode() for p in v.pieces]
         for byte, i in enumerate(v.byte_ids):
             spelled[i] = bytes([byte])
         spelled[v.unknown_id] = " ⁇ ".encode()
         self.spelled = pa.array(spelled, pa.large_binary())
 
+    def _forget(self) -> None:
+        """No unit is known; a known unit has a number, by which its ids are found in ``flat``."""
+        self.met: dict[str, int] = {}
+        self.flat, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        self.begin = self.size
+
     def _ordered(self, own: list[int]) -> np.ndarray:
         """Piece ids become places: 0 unknown, then single characters, then longer pieces in the order of merging."""
         v = self.v
@@ -190,6 +200,8 @@ class Codec:
             keys = self.left[made] * len(self.ids) + self.right[made]
             by = np.argsort(keys)
             self.pair_keys, self.pair_makes = np.append(keys[by], NONE), np.append(made[by], NONE)
+            self.pair_starts = np.zeros(1 << START_BITS, dtype=bool)
+            self.pair_starts[self._start(keys)] = True
             self.seen_pairs = np.full(KEPT_PAIRS, -1, dtype=np.int64)
             self.seen_verdicts = np.zeros(KEPT_PAIRS, dtype=bool)
         return place
@@ -215,13 +227,19 @@ class Codec:
             self.seen_pairs[slot[lost]] = -1
         return out
 
+    @staticmethod
+    def _start(keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * BASE) >> np.uint64(64 - START_BITS)
+
     def _undo(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         verdict, limit = np.zeros(len(a), dtype=bool), np.full(len(a), NONE)
         rows = np.arange(len(a))
         while len(rows):
             keys = a * len(self.ids) + b
-            at = np.searchsorted(self.pair_keys, keys)
-            makes = np.where(self.pair_keys[at] == keys, self.pair_makes[at], NONE)
+            some = np.flatnonzero(self.pair_starts[self._start(keys)])
+            at = np.searchsorted(self.pair_keys, keys[some])
+            makes = np.full(len(keys), NONE)
+            makes[some] = np.where(self.pair_keys[at] == keys[some], self.pair_makes[at], NONE)
             going = makes >= limit
             a, b, limit, rows = a[going], b[going], limit[going], rows[going]
             plain_a, plain_b = self.right[a] == a, self.left[b] == b
@@ -241,8 +259,11 @@ class Codec:
             wanted = hashes[:, width:] - hashes[:, :-width] * self.powers[width]
             keys, values = self.keys[width], self.values[width]
             if len(keys):
-                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                probes.append(np.where(keys[at] == wanted, values[at], -1))
+                found, flat = np.full(wanted.size, -1), wanted.reshape(-1)
+                some = np.flatnonzero(self.starts[width][flat >> np.uint64(64 - START_BITS)])     # most hashes start like no key
+                at = np.minimum(np.searchsorted(keys, flat[some]), len(keys) - 1)
+                found[some] = np.where(keys[at] == flat[some], values[at], -1)
+                probes.append(found.reshape(wanted.shape))
             else:
                 probes.append(np.full(wanted.shape, -1))
         probes[1] = np.maximum(probes[1], 0)     # the unknown place
@@ -279,6 +300,7 @@ class Codec:
 
     def _learn(self, units: list[str]) -> None:
         by_size: dict[int, list[str]] = {}
+        made, sizes = [self.flat], [self.size]
         for u in units:
             by_size.setdefault(len(u), []).append(u)
         piece = self.v.pieces.__getitem__
@@ -289,14 +311,28 @@ class Codec:
                 codes = np.frombuffer(raw, dtype="<u4").reshape(len(some), size).astype(np.uint64)
                 places, count = self._places(codes)
                 used = np.arange(places.shape[1])[None, :] >= places.shape[1] - count[:, None]
-                strange = ((places == 0) & used).any(axis=1).tolist()
-                for unit, row, n, odd in zip(some, self.ids[places].tolist(), count.tolist(), strange):
-                    ids = row[-n:]
-                    if odd:
-                        ids = self._with_unknown(unit, ids)
-                    elif "".join(map(piece, ids)) != unit:   # a hash that two strings share
-                        raise ArithmeticError(f"the pieces do not spell the unit {unit!r}")
-                    self.met[unit] = tuple(ids)
+                strange = ((places == 0) & used).any(axis=1)
+                plain, ids = ~strange, self.ids[places]
+                spelled = "".join(map(piece, ids[plain][used[plain]].tolist()))
+                if spelled != "".join(compress(some, plain.tolist())):   # a hash that two strings share
+                    raise ArithmeticError(f"the pieces do not spell the units of {size} characters")
+                flat = ids[used]
+                if strange.any():
+                    ends = np.cumsum(count).tolist()
+                    rows = [flat[end - n:end].tolist() for end, n in zip(ends, count.tolist())]
+                    rows = [self._with_unknown(u, row) if odd else row for u, row, odd in zip(some, rows, strange.tolist())]
+                    flat, count = np.array(list(chain.from_iterable(rows))), np.array([len(row) for row in rows])
+                self.met.update(zip(some, range(len(self.met), len(self.met) + len(some))))
+                made.append(flat.astype(np.int32))
+                sizes.append(count)
+        self.flat, self.size = np.concatenate(made), np.concatenate(sizes)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def _ids(self, units: list[str]) -> np.ndarray:
+        rows = np.fromiter(map(self.met.__getitem__, units), dtype=np.int64, count=len(units))
+        sizes = self.size[rows]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.begin[rows] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
     def _with_unknown(self, unit: str, ids: list[int]) -> list[int]:
         """Unknown characters as their bytes' ids, or one id a run."""
@@ -316,11 +352,10 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         cut = [None if t is None else self.units.findall(self._prepared(t)) for t in texts]
         if len(self.met) > KEPT_UNITS:
-            self.met.clear()
+            self._forget()
         new = {u for units in cut if units for u in units if u not in self.met}
-        self._learn(sorted(new))
-        get = self.met.__getitem__
-        out = [None if units is None else np.fromiter(chain.from_iterable(map(get, units)), dtype=np.int32) for units in cut]
+        self._learn(list(new))
+        out = [None if units is None else self._ids(units) for units in cut]
         if not self.v.byte_ids:   # a run of unknown characters is one id
             out = [x if x is None else x[np.r_[True, (x[1:] != self.v.unknown_id) | (x[:-1] != self.v.unknown_id)][:len(x)]]
                    for x in out]

@@ -30,6 +30,19 @@ def test_ids_of_the_public_library(codec):
         assert ids.tolist() == model.encode(text), text
 
 
+def test_known_units_are_gathered_and_few_substrings_are_searched(codec, monkeypatch):
+    fresh, probed, search = sc.Codec(codec.v), [], np.searchsorted
+    monkeypatch.setattr(sc.np, "searchsorted", lambda keys, wanted, *a: probed.append(np.size(wanted)) or search(keys, wanted, *a))
+    rng = random.Random(8)
+    some = ["".join(rng.choice("etaoinshrdlu") for _ in range(12)) + " stone" for _ in range(400)]
+    first = fresh.encode(some)
+    # searching every substring takes over 120 a text
+    assert sum(probed) < 100 * len(some)
+    before = len(fresh.flat)
+    assert all(a.tolist() == b.tolist() for a, b in zip(first, fresh.encode(some))) and len(fresh.flat) == before
+    assert len(fresh.met) == len(fresh.size) and fresh.size.sum() == before
+
+
 def test_exact_round_trip(codec):
     for text, ids in zip(texts(), codec.encode(texts())):
         assert codec.decode(ids) == text
