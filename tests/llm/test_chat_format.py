@@ -113,3 +113,17 @@ def test_query_builds_the_examples(spark, tmp_dir):
     assert sorted((r.conv_id or 0, r.example, r.context_turns) for r in found) == [
         (c, e, e - 1) for c in (-1, 0, 1) for e in ((2,) if c < 0 else (2, 4))]
     assert {r.conv_id: r.loss_chars for r in out.collect()} == {-1: len(cf.SAMPLE_TEXT), 1: 12, None: 12}
+
+
+@pytest.mark.parametrize("part_chars", [cf.PART_CHARS, 50])
+def test_every_example_is_written_whole(spark, tmp_dir, monkeypatch, part_chars):
+    monkeypatch.setattr(cf, "PART_CHARS", part_chars)       # 50: a conversation's examples are written by several tasks
+    rows = [(c, t, "assistant" if t % 2 else "user", f"said {t} </s>") for c in (1, None) for t in range(9)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(tmp_dir + "/conversations.parquet")
+    out = cf.op11_chat_format(spark, tmp_dir)
+    files = {f.rsplit("/", 1)[0] for f in out.inputFiles() if "/chat-examples-" in f}
+    found = [r for r in spark.read.parquet(files.pop()).collect() if r.conv_id != cf.SAMPLE_ID]
+    turn = [f"{cf.START}{'assistant' if t % 2 else 'user'}{cf.SEP}said {t} <\\/s>{cf.END}" for t in range(9)]
+    assert sorted((r.conv_id or 0, r.text) for r in found) == sorted((c, "".join(turn[:n])) for c in (0, 1) for n in (2, 4, 6, 8))
+    assert all(r.text[r.loss_start:r.loss_end] == f"said {r.example - 1} <\\/s>" and r.length == len(r.text) for r in found)
+    assert {r.loss_chars for r in out.collect() if r.conv_id != cf.SAMPLE_ID} == {4 * len("said 1 </s>")}
